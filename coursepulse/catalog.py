@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from coursepulse import fixtures as X, schema as S
 from coursepulse.functions import draws as D
 from coursepulse.functions.labels import behavior_from_index, label_behavior
-from coursepulse.functions.timestamps import event_time
+from coursepulse.functions.timestamps import timestamp_text
 from coursepulse.operators import alerts, cleaning, metrics, oplog, quality, ranking, synth
 from coursepulse.plans import ranks
 from coursepulse.plans.results import BATCH, six_results
@@ -255,10 +255,7 @@ def join_courses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zero_fill_hours(spark: SparkSession, sf: str) -> DataFrame:
-    """A log that rests at night, so that some hours are empty."""
-    log = X.behavior(spark, sf, names=False)
-    daytime = log.filter(F.hour(event_time(F.col("timestamp"))).between(8, 22))
-    return metrics.time_distribution(daytime, zero_fill=True)
+    return metrics.time_distribution(X.behavior(spark, sf, names=False), zero_fill=True)
 
 
 def extra_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -313,7 +310,7 @@ def stream_logs(spark: SparkSession, sf: str) -> DataFrame:
 
 def split_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents as lines; the long ones become several."""
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = X.table(spark, sf, "documents")
     pieces = ingest.split_lines(docs.select("doc_id", F.col("text").alias("value")))
     return pieces.select(
         "doc_id", F.length("value").cast("bigint").alias("chars"), F.md5("value").alias("digest")
@@ -364,7 +361,7 @@ def running_fact(spark: SparkSession, sf: str) -> DataFrame:
     return merged.select(
         "student_id", "student_name", "course_id", "course_name", "behavior_type",
         "n", "seconds", "score_tenths", "score_n",
-        F.date_format("last_ts", S.TIMESTAMP_FORMAT).alias("last_activity"),
+        timestamp_text(F.col("last_ts")).alias("last_activity"),
     )
 
 
@@ -462,7 +459,7 @@ def score(spark: SparkSession, sf: str) -> DataFrame:
 
 def weighted_ts(spark: SparkSession, sf: str) -> DataFrame:
     timed = synth.weighted_ts(_rows(spark, sf), _u(0), _u(1))
-    return timed.select("row_id", F.date_format("event_ts", S.TIMESTAMP_FORMAT).alias("event_ts"))
+    return timed.select("row_id", timestamp_text(F.col("event_ts")).alias("event_ts"))
 
 
 # --- operational log ---------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from coursepulse import schema as S
 from coursepulse.functions import timestamps as ts
@@ -19,13 +19,24 @@ EVENT_LEVEL = {"error": "ERROR", "signup": "WARN", "click": "DEBUG"}
 LOG_MODULES = ["Web", "HDFS", "YARN", "Spark", "Flume"]
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is read from the files once per session, not per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return table(spark, sf_dir, "events")
 
 
 def students(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer, as (user_id, student_id, student_name)."""
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"),
         student_id(F.col("c_custkey")).alias("student_id"),
         F.col("c_name").alias("student_name"),
@@ -35,16 +46,17 @@ def students(spark: SparkSession, sf_dir: str) -> DataFrame:
 def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eight courses as (course_no, course_id, course_name).
 
-    The grouping proves that at most eight rows are left, which makes the frame safe to
+    The grouping proves that at most eight rows are left, so the frame is marked for
     broadcast.
     """
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    return (
+    part = table(spark, sf_dir, "part")
+    eight = (
         part.filter(F.col("p_partkey").between(0, COURSE_COUNT - 1))
         .groupBy(F.col("p_partkey").alias("course_no"))
         .agg(F.min("p_name").alias("course_name"))
         .select("course_no", course_id(F.col("course_no")).alias("course_id"), "course_name")
     )
+    return F.broadcast(eight)
 
 
 def student_id(user: Column) -> Column:
@@ -73,7 +85,7 @@ def behavior(spark: SparkSession, sf_dir: str, names: bool = True) -> DataFrame:
     df = df.withColumn("behavior_type", kind)
     if names:
         df = df.join(students(spark, sf_dir).drop("student_id"), "user_id", "left").join(
-            F.broadcast(courses(spark, sf_dir).drop("course_id")), "course_no", "left"
+            courses(spark, sf_dir).drop("course_id"), "course_no", "left"
         )
     event_id, user = F.col("event_id"), F.col("user_id")
     columns = {

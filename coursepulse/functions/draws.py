@@ -10,18 +10,36 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from coursepulse import schema as S
 
 TWO_32 = 2**32
 
 
-def draw(seed: int | str, row: Column, salt: int) -> Column:
+def _digest(seed: int, row: Column, block: int) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), row.cast("string"), F.lit(str(block))))
+
+
+def _slice(digest: Column, part: int) -> Column:
+    return F.conv(F.substring(digest, part * 8 + 1, 8), 16, 10).cast("bigint")
+
+
+def draw(seed: int, row: Column, salt: int) -> Column:
     """Uniform integer in [0, 2**32)."""
     block, part = divmod(salt, 4)
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), row.cast("string"), F.lit(str(block))))
-    return F.conv(F.substring(digest, part * 8 + 1, 8), 16, 10).cast("bigint")
+    return _slice(_digest(seed, row, block), part)
+
+
+def with_draws(df: DataFrame, seed: int, row: Column, n: int) -> DataFrame:
+    """Adds the draws of salts 0 to ``n - 1`` as columns ``u0``, ``u1``, ...
+
+    As columns they are computed once each, however often an expression refers to them.
+    """
+    blocks = [f"_digest{i}" for i in range((n + 3) // 4)]
+    digests = {name: _digest(seed, row, i) for i, name in enumerate(blocks)}
+    slices = {f"u{i}": _slice(F.col(blocks[i // 4]), i % 4) for i in range(n)}
+    return df.withColumns(digests).withColumns(slices).drop(*blocks)
 
 
 def below(u: Column, n: Column | int) -> Column:
@@ -35,9 +53,10 @@ def fraction(u: Column) -> Column:
     return u.cast("double") / F.lit(float(TWO_32))
 
 
-def uniform_int(u: Column, low: int, high: int) -> Column:
+def uniform_int(u: Column, low: Column | int, high: Column | int) -> Column:
     """Integer in [low, high)."""
-    return F.lit(low).cast("bigint") + below(u, high - low)
+    low = F.lit(low).cast("bigint")
+    return low + below(u, F.lit(high).cast("bigint") - low)
 
 
 def pick(u: Column, values: Sequence) -> Column:
@@ -56,27 +75,37 @@ def weighted(u: Column, choices: Sequence[tuple[str, int]]) -> Column:
     return case.otherwise(F.lit(choices[-1][0]))
 
 
-def triangular(u: Column, low: int, high: int, mode: int) -> Column:
+def triangular(
+    u: Column, low: Column | int, high: Column | int, mode: Column | int
+) -> Column:
     """Integer part of a triangular variable, by its inverse distribution function."""
     x = fraction(u)
-    left = F.lit(float(low)) + F.sqrt(x * F.lit(float((high - low) * (mode - low))))
-    right = F.lit(float(high)) - F.sqrt((1 - x) * F.lit(float((high - low) * (high - mode))))
-    return F.floor(F.when(x < F.lit((mode - low) / (high - low)), left).otherwise(right))
+    low, high, mode = (F.lit(v).cast("double") for v in (low, high, mode))
+    left = low + F.sqrt(x * ((high - low) * (mode - low)))
+    right = high - F.sqrt((1 - x) * ((high - low) * (high - mode)))
+    return F.floor(F.when(x < (mode - low) / (high - low), left).otherwise(right))
 
 
-def by_behavior(behavior: Column, branches: dict[str, Column]) -> Column:
-    """A different expression for each behaviour; the last one is the default."""
-    names = list(branches)
-    case = F
-    for name in names[:-1]:
-        case = case.when(behavior == name, branches[name])
-    return case.otherwise(branches[names[-1]])
+def _by_behavior(behavior: Column, table: dict[str, tuple[int, ...]]) -> list[Column]:
+    """The figures a table has for each behaviour, one column per position.
+
+    Looking figures up and computing once keeps the generated code small; a formula per
+    branch would outgrow what the JVM compiles. The last behaviour is the default.
+    """
+    names = list(table)
+    figures = []
+    for position in range(len(table[names[0]])):
+        case = F
+        for name in names[:-1]:
+            case = case.when(behavior == name, F.lit(table[name][position]))
+        figures.append(case.otherwise(F.lit(table[names[-1]][position])))
+    return figures
 
 
 def duration_for(behavior: Column, u: Column, ranges=None) -> Column:
     """Uniform seconds in the behaviour's [low, high) range."""
     ranges = S.BATCH_DURATIONS if ranges is None else ranges
-    return by_behavior(behavior, {b: uniform_int(u, lo, hi) for b, (lo, hi) in ranges.items()})
+    return uniform_int(u, *_by_behavior(behavior, ranges))
 
 
 def inclusive_duration_for(behavior: Column, u: Column) -> Column:
@@ -86,9 +115,7 @@ def inclusive_duration_for(behavior: Column, u: Column) -> Column:
 
 def triangular_duration_for(behavior: Column, u: Column) -> Column:
     """Triangular seconds with the behaviour's low, high and mode."""
-    return by_behavior(
-        behavior, {b: triangular(u, *shape) for b, shape in S.TRIANGULAR_DURATIONS.items()}
-    )
+    return triangular(u, *_by_behavior(behavior, S.TRIANGULAR_DURATIONS))
 
 
 def gaussian(u1: Column, u2: Column, mean: float, sd: float) -> Column:

@@ -19,12 +19,22 @@ def event_date(ts: Column) -> Column:
     return event_time(ts).cast("date")
 
 
-def event_hour(ts: Column) -> Column:
-    return F.hour(event_time(ts))
+def timestamp_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text of a zone-free timestamp, whatever the session's zone.
 
+    ``date_format`` would pass through the session zone and shift hours its clock skips.
+    """
+    return F.substring(ts.cast("string"), 1, 19)
+
+
+def compact_text(ts: Column) -> Column:
+    """``yyyyMMddHHmmss`` text of a zone-free timestamp."""
+    return F.translate(timestamp_text(ts), "-: ", "")
 
-def timestamp_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+
+def date_text(day: Column) -> Column:
+    """``yyyy-MM-dd`` text of a date."""
+    return day.cast("string")
 
 
 def week_number(day: Column, term_start: str) -> Column:
@@ -36,7 +46,14 @@ def is_weekend(day: Column) -> Column:
     return F.when(F.weekday(day) >= 5, 1).otherwise(F.when(day.isNotNull(), 0))
 
 
+def at_second(start: str, second: Column) -> Column:
+    """Midnight of ``start`` plus a number of seconds, zone-free.
+
+    ``timestamp_add`` counts in integers; an interval would be built from decimals.
+    """
+    return F.timestamp_add("SECOND", second.cast("int"), F.lit(start).cast("timestamp_ntz"))
+
+
 def at_offset(start: str, days: Column, hours: Column, minutes: Column, seconds: Column) -> Column:
     """Midnight of ``start`` plus days, hours, minutes and seconds, zone-free."""
-    day = F.date_add(F.lit(start).cast("date"), days.cast("int")).cast("timestamp_ntz")
-    return day + F.make_dt_interval(F.lit(0), hours, minutes, seconds)
+    return at_second(start, ((days * 24 + hours) * 60 + minutes) * 60 + seconds)

@@ -92,7 +92,7 @@ def add_calendar(b: DataFrame, term_start: str, exam_weeks: tuple[int, ...] = S.
     week = ts.week_number(day, term_start)
     return b.withColumns(
         {
-            "date": F.date_format(day, "yyyy-MM-dd"),
+            "date": ts.date_text(day),
             "hour": F.hour(time),
             "weekday": F.weekday(day),
             "week_number": week,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from coursepulse import schema as S
 from coursepulse.functions import draws as D, timestamps as ts
 from coursepulse.plans import ranks
+from coursepulse.sources.readers import dim
 
 TERM_START = "2025-09-01"
 TERM_DAYS = 115
@@ -45,10 +46,8 @@ def roster(spark: SparkSession, n: int) -> DataFrame:
 
 def course_catalogue(spark: SparkSession) -> DataFrame:
     """The eight courses with chapters and credits."""
-    rows = [(i, *course) for i, course in enumerate(S.COURSES)]
-    return spark.createDataFrame(
-        rows, "idx bigint, course_id string, course_name string, chapters int, credits double"
-    )
+    schema = "course_id string, course_name string, chapters int, credits double"
+    return dim(spark, S.COURSES, schema)
 
 
 def _size(dim: DataFrame) -> Column:
@@ -56,17 +55,21 @@ def _size(dim: DataFrame) -> Column:
 
 
 def join_students(df: DataFrame, students: DataFrame) -> DataFrame:
-    """Adds the student of each ``student_idx``; Spark broadcasts only a small roster."""
+    """Adds the student of each ``student_idx``; Spark broadcasts a roster it knows is small."""
     return df.join(students, df["student_idx"] == students["idx"], "left").drop(
         "idx", "student_idx"
     )
 
 
 def join_courses(df: DataFrame, courses: DataFrame) -> DataFrame:
-    """Adds the course of each ``course_idx``; Spark broadcasts only a small catalogue."""
+    """Adds the course of each ``course_idx``; ``dim`` marks the catalogue for broadcast."""
     return df.join(courses, df["course_idx"] == courses["idx"], "left").drop("idx", "course_idx")
 
 
+def _u(salt: int) -> Column:
+    return F.col(f"u{salt}")
+
+
 def _record_uuid(seed: int, row: Column) -> Column:
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), row.cast("string"), F.lit("id")))
     parts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
@@ -82,21 +85,17 @@ def synth_b8(
     days: int = TERM_DAYS,
 ) -> DataFrame:
     """Standard records: everything uniform."""
-    row = F.col("row_id")
-
-    def u(salt: int) -> Column:
-        return D.draw(seed, row, salt)
-
-    when = ts.at_offset(start, D.below(u(3), days), *[D.below(u(4 + i), n) for i, n in
-                                                      enumerate((24, 60, 60))])
-    drawn = rows.select(
+    row, u = F.col("row_id"), _u
+    clock = [D.below(u(4 + i), n) for i, n in enumerate((24, 60, 60))]
+    when = ts.at_offset(start, D.below(u(3), days), *clock)
+    drawn = D.with_draws(rows, seed, row, 8).select(
         _record_uuid(seed, row).alias("record_id"),
         D.below(u(0), _size(students)).alias("student_idx"),
         D.below(u(1), _size(courses)).alias("course_idx"),
         D.pick(u(2), S.BEHAVIORS).alias("behavior_type"),
-        u(7).alias("_u_duration"),
+        u(7),
         ts.timestamp_text(when).alias("timestamp"),
-    ).withColumn("duration", D.duration_for(F.col("behavior_type"), F.col("_u_duration")))
+    ).withColumn("duration", D.duration_for(F.col("behavior_type"), u(7)))
     joined = join_courses(join_students(drawn, students), courses)
     return joined.select(*S.B8_COLUMNS)
 
@@ -110,25 +109,18 @@ def synth_b11(
     days: int = 7,
 ) -> DataFrame:
     """Detailed records; a daytime record is moved to a new uniform time in 30 of 100 cases."""
-    row = F.col("row_id")
-
-    def u(salt: int) -> Column:
-        return D.draw(seed, row, salt)
-
-    def at(second: Column) -> Column:
-        return F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(
-            F.lit(0), F.lit(0), F.lit(0), second
-        )
-
+    u = _u
     first, again = D.below(u(2), days * 86400), D.below(u(3), days * 86400)
     hour = F.call_function("div", first % 86400, F.lit(3600))
     moved = hour.between(8, 22) & (D.below(u(4), 100) < 30)
     behavior = F.col("behavior_type")
-    drawn = rows.select(
-        "row_id",
+    drawn = D.with_draws(rows, seed, F.col("row_id"), 13).select(
+        *[u(i) for i in (7, 10, 11, 12)],
         D.below(u(0), _size(students)).alias("student_idx"),
         D.below(u(1), _size(courses)).alias("course_idx"),
-        ts.timestamp_text(at(F.when(moved, again).otherwise(first))).alias("timestamp"),
+        ts.timestamp_text(ts.at_second(start, F.when(moved, again).otherwise(first))).alias(
+            "timestamp"
+        ),
         D.pick(u(5), S.BEHAVIORS).alias("behavior_type"),
         D.pick(u(6), S.DEVICES).alias("device_type"),
         D.private_ip(u(8), u(9)).alias("ip_address"),
@@ -187,10 +179,7 @@ def weighted_ts(
         .join(F.broadcast(slots), ["_weight", "_member"], "left")
     )
     second = F.col("_slot") * 3600 + F.col("_second")
-    event_ts = F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), second
-    )
-    return placed.withColumn("event_ts", event_ts).drop(
+    return placed.withColumn("event_ts", ts.at_second(start, second)).drop(
         "_unit", "_second", "_weight", "_base", "_member", "_slot"
     )
 
@@ -220,15 +209,12 @@ def synth_b22(
 ) -> DataFrame:
     """Dataset records: weighted behaviours, devices and times, triangular durations,
     scores with a failing tail, chapters that follow the term."""
-    row = F.col("row_id")
-
-    def u(salt: int) -> Column:
-        return D.draw(seed, row, salt)
-
+    row, u = F.col("row_id"), _u
     behavior, when = F.col("behavior_type"), F.col("event_ts")
     day = when.cast("date")
-    drawn = rows.select(
+    drawn = D.with_draws(rows, seed, row, 17).select(
         "row_id",
+        *[u(i) for i in range(9, 17)],
         D.below(u(0), _size(students)).alias("student_idx"),
         D.below(u(1), _size(courses)).alias("course_idx"),
         D.weighted(u(2), S.BEHAVIOR_WEIGHTS).alias("behavior_type"),
@@ -237,25 +223,30 @@ def synth_b22(
         D.pick(u(7), S.BROWSERS).alias("browser"),
         D.pick(u(8), S.OPERATING_SYSTEMS).alias("os"),
     )
-    timed = weighted_ts(drawn, u(9), u(10), start, days)
+    # Computed before the joins: one projection for everything would generate a method
+    # beyond the size the JVM compiles, and run interpreted.
+    timed = weighted_ts(drawn, u(9), u(10), start, days).withColumns(
+        {
+            "duration": D.triangular_duration_for(behavior, u(11)),
+            "score": D.score(behavior, u(13), u(14), 12.0, (u(15), u(16))),
+        }
+    )
     joined = join_courses(join_students(timed, students), courses)
     week = ts.week_number(day, start)
     number = F.lpad(row.cast("string"), 4, "0")
     return joined.withColumns(
         {
             "record_id": F.concat(
-                F.lit("REC_"), F.date_format(when, "yyyyMMddHHmmss"), F.lit("_"),
+                F.lit("REC_"), ts.compact_text(when), F.lit("_"),
                 F.when(row < 10000, number).otherwise(row.cast("string")),
             ),
             "course_credits": F.col("credits"),
-            "duration": D.triangular_duration_for(behavior, u(11)),
             "timestamp": ts.timestamp_text(when),
-            "date": F.date_format(day, "yyyy-MM-dd"),
+            "date": ts.date_text(day),
             "hour": F.hour(when),
             "weekday": F.weekday(day),
             "week_number": week,
             "chapter_id": D.chapter(F.col("chapters"), week, u(12)),
-            "score": D.score(behavior, u(13), u(14), 12.0, (u(15), u(16))),
             "is_weekend": ts.is_weekend(day),
             "is_exam_week": week.isin(*S.EXAM_WEEKS).cast("int"),
         }

@@ -285,11 +285,11 @@ SELECT type, {_label('type')} AS name, count, percentage
 FROM ({_distribution('behavior', 'behavior_type', 'type')})"""
 
 
-def _time(source: str = "behavior", zero_fill: bool = False, where: str = "") -> str:
+def _time(source: str = "behavior", zero_fill: bool = False) -> str:
     hour = f"CAST(hour({PARSED}) AS INTEGER)"
     counts = (
         f"SELECT {hour} AS hour, count(*) AS count FROM {source} "
-        f"WHERE {PARSED} IS NOT NULL {where} GROUP BY 1"
+        f"WHERE {PARSED} IS NOT NULL GROUP BY 1"
     )
     if not zero_fill:
         return counts
@@ -647,9 +647,7 @@ FROM events LEFT JOIN customer ON c_custkey = user_id""",
 SELECT event_id, 'COURSE_' || lpad(CAST(p_partkey + 1 AS VARCHAR), 3, '0') AS course_id,
        p_name AS course_name
 FROM events LEFT JOIN (SELECT * FROM part WHERE p_partkey BETWEEN 0 AND 7) ON p_partkey = user_id""",
-        "zero_fill_hours": _log(
-            _time(zero_fill=True, where=f"AND hour({PARSED}) BETWEEN 8 AND 22")
-        ),
+        "zero_fill_hours": _log(_time(zero_fill=True)),
         "extra_keys": _raw(f"SELECT {KEY} FROM ({dwd}) EXCEPT SELECT {KEY} FROM raw"),
         "lost_keys": _raw(f"SELECT {KEY} FROM raw EXCEPT SELECT {KEY} FROM ({clean})"),
         "keys": _raw(f"SELECT DISTINCT {KEY} FROM raw"),

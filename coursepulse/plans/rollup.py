@@ -46,20 +46,20 @@ def measured(b: DataFrame) -> DataFrame:
     """Dimensions and measures of a log; a rollup passes through."""
     if "n" in b.columns:
         return b
-    time = event_time(F.col("timestamp"))
+    time = F.col("last_ts")
     score = F.col("score") if "score" in b.columns else F.lit(None).cast("double")
     dims = [
         F.col(d) if d in b.columns else F.lit(None).cast("string").alias(d)
         for d in DIMS
         if d not in ("event_date", "event_hour")
     ]
-    return b.select(
+    return b.withColumn("last_ts", event_time(F.col("timestamp"))).select(
         *dims,
         time.cast("date").alias("event_date"),
         F.hour(time).alias("event_hour"),
         F.lit(1).cast("bigint").alias("n"),
         F.col("duration").cast("bigint").alias("seconds"),
-        time.alias("last_ts"),
+        time,
         F.round(score * 10).cast("bigint").alias("score_tenths"),
         score.isNotNull().cast("bigint").alias("score_n"),
     )

@@ -18,7 +18,10 @@ def local_session(cpus: int | str = 8, app: str = "coursepulse") -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -49,10 +49,13 @@ def read_partitioned_logs(
 
 
 def dim(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
-    """A dimension held in memory, with a dense ``idx`` in the order given."""
-    return spark.createDataFrame(
-        [(i, *row) for i, row in enumerate(rows)], _with_index(schema)
-    )
+    """A dimension held in memory, with a dense ``idx`` in the order given.
+
+    Spark knows no size of such a frame and would shuffle both sides of a join with it.
+    The rows fit the caller's list, so the frame is marked for broadcast.
+    """
+    indexed = [(i, *row) for i, row in enumerate(rows)]
+    return F.broadcast(spark.createDataFrame(indexed, _with_index(schema)))
 
 
 def _with_index(schema: str | T.StructType) -> T.StructType:

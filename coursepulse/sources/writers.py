@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from coursepulse.functions.timestamps import event_date
+from coursepulse.functions.timestamps import date_text, event_date
 
 FORMATS = ("json", "csv")
 
@@ -28,13 +28,14 @@ def write_logs(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwri
         writer.option("header", True).csv(path)
 
 
-def with_partition_columns(df: DataFrame, day) -> DataFrame:
+def with_partition_columns(df: DataFrame, day: Column) -> DataFrame:
     """Adds zero-padded ``year``, ``month`` and ``day``."""
+    text = date_text(day)
     return df.withColumns(
         {
-            "year": F.date_format(day, "yyyy"),
-            "month": F.date_format(day, "MM"),
-            "day": F.date_format(day, "dd"),
+            "year": F.substring(text, 1, 4),
+            "month": F.substring(text, 6, 2),
+            "day": F.substring(text, 9, 2),
         }
     )
 
