@@ -298,6 +298,7 @@ def stream_logs(spark: SparkSession, sf: str) -> DataFrame:
     for half in _halves(X.behavior(spark, sf)):
         writers.write_json(half, landing, mode="append")
         records = readers.good_records(ingest.stream_logs(spark, landing))
+        records = records.select(*S.LOG.fieldNames())
         query = (
             records.writeStream.format("parquet")
             .option("checkpointLocation", checkpoint)
@@ -328,8 +329,8 @@ def parse_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def with_ingest_meta(spark: SparkSession, sf: str) -> DataFrame:
-    logs = readers.read_json_logs(spark, _landed(spark, sf))
-    return ingest.with_ingest_meta(logs).select(
+    lines = ingest.with_ingest_meta(spark.read.text(_landed(spark, sf)))
+    return readers.parse_records(lines).select(
         "record_id",
         F.col("ingest_time").isNotNull().alias("stamped"),
         F.col("filename").endswith(F.col("basename")).alias("named"),
@@ -337,7 +338,7 @@ def with_ingest_meta(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def land_stream(spark: SparkSession, sf: str) -> DataFrame:
-    stream = ingest.with_ingest_meta(ingest.stream_logs(spark, _landed(spark, sf)))
+    stream = ingest.stream_logs(spark, _landed(spark, sf))
     out = scratch_path(spark, "dated")
     ingest.land_stream(
         stream.drop(S.CORRUPT), out, scratch_path(spark, "checkpoint"), by="event"

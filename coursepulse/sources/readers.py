@@ -9,19 +9,31 @@ from coursepulse import schema as S
 PARTITIONS = ["year", "month", "day"]
 
 
+def parse_records(lines: DataFrame) -> DataFrame:
+    """The record in each ``value``, beside the other columns of ``lines``.
+
+    A line that is no record is kept in ``_corrupt_record``. Whether it is one depends on
+    the whole line here; the JSON file source judges by the columns a query happens to read.
+    ``explode`` over the single record keeps later filters from parsing the line again.
+    """
+    others = [c for c in lines.columns if c != "value"]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT}
+    record = F.from_json("value", S.LOG_WITH_CORRUPT, options)
+    parsed = lines.filter(F.trim("value") != "").withColumn("_record", F.explode(F.array(record)))
+    unread = F.when(F.col("_record").isNull(), F.col("value")).otherwise(
+        F.col(f"_record.{S.CORRUPT}")
+    )
+    fields = [F.col(f"_record.{c}").alias(c) for c in S.LOG.fieldNames()]
+    return parsed.select(*fields, *others, unread.alias(S.CORRUPT))
+
+
 def read_json_logs(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines anywhere below ``path``, of either record form.
 
     The recursive lookup also finds files of a folder that mixes dated sub-folders with
-    files at its root; plain partition discovery would lose the latter. A line that is not
-    a record is kept in ``_corrupt_record``.
+    files at its root; plain partition discovery would lose the latter.
     """
-    return (
-        spark.read.schema(S.LOG_WITH_CORRUPT)
-        .option("recursiveFileLookup", True)
-        .option("columnNameOfCorruptRecord", S.CORRUPT)
-        .json(path)
-    )
+    return parse_records(spark.read.option("recursiveFileLookup", True).text(path))
 
 
 def read_csv_logs(spark: SparkSession, path: str, schema: T.StructType = S.B22) -> DataFrame:
@@ -36,16 +48,14 @@ def read_partitioned_logs(
 
     The condition uses partition columns alone, so other folders are not opened.
     """
-    schema = T.StructType(
-        S.LOG_WITH_CORRUPT.fields + [T.StructField(p, T.IntegerType()) for p in PARTITIONS]
-    )
-    logs = spark.read.schema(schema).option("columnNameOfCorruptRecord", S.CORRUPT).json(path)
+    folders = [F.col(p).cast("int").alias(p) for p in PARTITIONS]
+    lines = spark.read.text(path).select("value", *folders)
     day = F.make_date(*PARTITIONS)
     if start is not None:
-        logs = logs.filter(day >= F.lit(start).cast("date"))
+        lines = lines.filter(day >= F.lit(start).cast("date"))
     if end is not None:
-        logs = logs.filter(day <= F.lit(end).cast("date"))
-    return logs
+        lines = lines.filter(day <= F.lit(end).cast("date"))
+    return parse_records(lines)
 
 
 def dim(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
@@ -83,7 +93,7 @@ def conform(df: DataFrame, schema: T.StructType = S.B8) -> DataFrame:
 
 
 def good_records(logs: DataFrame) -> DataFrame:
-    """Records that could be read. Asks for all columns, as Spark needs besides the corrupt one."""
+    """Records that could be read."""
     return logs.filter(F.col(S.CORRUPT).isNull()).drop(S.CORRUPT)
 
 

@@ -5,60 +5,55 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from coursepulse import schema as S
 from coursepulse.functions.timestamps import event_date, event_time
+from coursepulse.sources.readers import parse_records
 from coursepulse.sources.writers import with_partition_columns, write_json
 
 ROLL_INTERVAL = "3600 seconds"
 
 
-def _folder_stream(spark: SparkSession, max_files: int | None, archive: str | None):
-    reader = spark.readStream
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    if archive is not None:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader
-
-
 def stream_logs(
     spark: SparkSession,
     path: str,
-    schema: T.StructType = S.LOG_WITH_CORRUPT,
     max_files: int | None = None,
     archive: str | None = None,
+    max_len: int | None = None,
 ) -> DataFrame:
-    """JSON lines of each file that appears in ``path``, every file once per checkpoint.
+    """Records of each file that appears in ``path``, with their ingest time and file.
 
-    With ``archive`` finished files move there, which keeps the watched folder short.
+    Every file is taken once per checkpoint. With ``archive`` finished files move there,
+    which keeps the watched folder short.
     """
-    return (
-        _folder_stream(spark, max_files, archive)
-        .schema(schema)
-        .option("columnNameOfCorruptRecord", S.CORRUPT)
-        .json(path)
-    )
+    lines = with_ingest_meta(stream_lines(spark, path, max_files, archive))
+    return parse_lines(lines, max_len)
 
 
 def stream_lines(
     spark: SparkSession, path: str, max_files: int | None = None, archive: str | None = None
 ) -> DataFrame:
     """Lines of text of each file that appears in ``path``."""
-    return _folder_stream(spark, max_files, archive).text(path)
+    reader = spark.readStream
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.text(path)
 
 
-def split_lines(lines: DataFrame, max_len: int = S.MAX_LINE_LENGTH) -> DataFrame:
+def split_lines(lines: DataFrame, max_len: int | None = S.MAX_LINE_LENGTH) -> DataFrame:
     """Undecodable bytes dropped; a line over ``max_len`` characters becomes several.
 
     The pieces together are the whole line.
     """
     value = F.col("value")
-    valid = F.when(
-        F.is_valid_utf8(value), value
-    ).otherwise(F.replace(F.make_valid_utf8(value), F.lit("�"), F.lit("")))
+    mended = F.replace(F.make_valid_utf8(value), F.lit("\ufffd"), F.lit(""))
+    valid = F.when(F.is_valid_utf8(value), value).otherwise(mended)
+    if max_len is None:
+        return lines.withColumn("value", valid)
     starts = F.sequence(F.lit(1), F.greatest(F.length("value"), F.lit(1)), F.lit(max_len))
     return (
         lines.withColumn("value", valid)
@@ -68,18 +63,9 @@ def split_lines(lines: DataFrame, max_len: int = S.MAX_LINE_LENGTH) -> DataFrame
     )
 
 
-def parse_lines(lines: DataFrame, max_len: int = S.MAX_LINE_LENGTH) -> DataFrame:
+def parse_lines(lines: DataFrame, max_len: int | None = S.MAX_LINE_LENGTH) -> DataFrame:
     """Records of JSON lines; what is not a record stays in ``_corrupt_record``."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT}
-    parsed = split_lines(lines, max_len).withColumn(
-        "_record", F.from_json("value", S.LOG_WITH_CORRUPT, options)
-    )
-    unread = F.when(F.col("_record").isNull(), F.col("value")).otherwise(
-        F.col(f"_record.{S.CORRUPT}")
-    )
-    return parsed.select(
-        *[F.col(f"_record.{c}").alias(c) for c in S.LOG.fieldNames()], unread.alias(S.CORRUPT)
-    )
+    return parse_records(split_lines(lines, max_len))
 
 
 def with_ingest_meta(df: DataFrame, tz: str = S.INGEST_TIME_ZONE) -> DataFrame:
