@@ -14,7 +14,7 @@ from coursepulse.functions.timestamps import timestamp_text
 from coursepulse.operators import alerts, cleaning, metrics, oplog, quality, ranking, synth
 from coursepulse.plans import ranks
 from coursepulse.plans.results import BATCH, six_results
-from coursepulse.plans.rollup import LEARNER, merge, stored_rollup
+from coursepulse.plans.rollup import ENROLMENT, merge, stored_rollup
 from coursepulse.session import scratch_path
 from coursepulse.sources import readers, writers
 from coursepulse.streaming import ingest, running
@@ -355,12 +355,12 @@ def _run_in_two(spark: SparkSession, sf: str, path: str) -> None:
 
 
 def running_fact(spark: SparkSession, sf: str) -> DataFrame:
-    """The learner grain of the running fact, batches merged."""
+    """The student x course grain of the running fact, batches merged."""
     path = scratch_path(spark, "fact")
     _run_in_two(spark, sf, path)
-    merged = merge(running.snapshot(spark, path).filter(F.col("grain") == LEARNER))
+    merged = merge(running.snapshot(spark, path).filter(F.col("grain") == ENROLMENT))
     return merged.select(
-        "student_id", "student_name", "course_id", "course_name", "behavior_type",
+        "student_id", "student_name", "course_id", "course_name",
         "n", "seconds", "score_tenths", "score_n",
         timestamp_text(F.col("last_ts")).alias("last_activity"),
     )
@@ -559,7 +559,7 @@ QUERIES: dict[str, Query] = {
         lambda b: _text_date(metrics.partition_counts(b), "event_date")
     ),
     "latest_names": _on_log(
-        lambda b: metrics.latest_names(b, "behavior_type", "student_name"), names=True
+        lambda b: metrics.latest_names(b, "course_id", "student_name"), names=True
     ),
     "row_count": _on_raw(metrics.row_count),
     # rankings

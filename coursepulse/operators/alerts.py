@@ -91,7 +91,7 @@ def inactive_students(
     threshold: int = S.INACTIVE_DAYS,
     by: tuple[str, ...] = ("student_id",),
 ) -> DataFrame:
-    """Students (or other learner groups) without activity for ``threshold`` days."""
+    """Students (or students per course) without activity for ``threshold`` days."""
     days = F.datediff(F.lit(as_of).cast("date"), F.col("last_activity"))
     return (
         metrics.last_activity(b, by)
@@ -121,8 +121,8 @@ def threshold_diff(
 def low_duration(
     b: DataFrame, lt: int = S.LOW_DURATION_SECONDS, by: tuple[str, ...] = ("student_id",)
 ) -> DataFrame:
-    """Students (or other learner groups) strictly below ``lt`` seconds in total."""
-    totals = metrics.learner_grain(b).groupBy(*by).agg(
+    """Students (or students per course) strictly below ``lt`` seconds in total."""
+    totals = metrics.by_enrolment(b, by).agg(
         F.coalesce(F.sum("seconds"), F.lit(0).cast("bigint")).alias("total_duration")
     )
     return totals.filter(F.col("total_duration") < lt)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 from coursepulse import schema as S
 from coursepulse.functions import rounding
 from coursepulse.functions.labels import label_behavior
 from coursepulse.functions.timestamps import is_weekend, timestamp_text
-from coursepulse.plans.rollup import activity_grain, learner_grain, measured
+from coursepulse.plans.rollup import ACTIVITY, ENROLMENT, GRAINS, HABIT, in_grain, measured, rows_of
 
 GROUP, LATEST = "group", "latest"
 
@@ -35,7 +35,7 @@ def summary(b: DataFrame, roster_size: int = S.ROSTER_SIZE) -> DataFrame:
     distinct counts off the log itself.
     """
     pairs = (
-        learner_grain(b)
+        rows_of(b, ENROLMENT)
         .groupBy("student_id", "course_id")
         .agg(F.sum("n").alias("n"), F.sum("seconds").alias("seconds"))
     )
@@ -60,7 +60,7 @@ def summary(b: DataFrame, roster_size: int = S.ROSTER_SIZE) -> DataFrame:
 
 def _by_entity(b: DataFrame, key: str, name: str, other: str, policy: str) -> DataFrame:
     """Seconds and distinct ``other`` per entity, by (key, name) or by key and latest name."""
-    m = learner_grain(b)
+    m = rows_of(b, ENROLMENT)
     if policy == GROUP:
         return m.groupBy(key, name).agg(
             _total("seconds").alias("total_seconds"), F.count_distinct(other).alias("others")
@@ -102,7 +102,7 @@ def course_popularity(b: DataFrame, name_policy: str = GROUP) -> DataFrame:
 def behavior_distribution(b: DataFrame) -> DataFrame:
     """Rows, label and share per behaviour, most frequent first."""
     counts = (
-        activity_grain(b)
+        rows_of(b, ACTIVITY)
         .groupBy(F.col("behavior_type").alias("type"))
         .agg(F.sum("n").alias("count"))
     )
@@ -116,7 +116,7 @@ def behavior_distribution(b: DataFrame) -> DataFrame:
 def time_distribution(b: DataFrame, zero_fill: bool = False) -> DataFrame:
     """Rows per hour of day; rows without a readable timestamp have no hour."""
     counts = (
-        activity_grain(b)
+        rows_of(b, ACTIVITY)
         .filter(F.col("event_hour").isNotNull())
         .groupBy(F.col("event_hour").alias("hour"))
         .agg(F.sum("n").alias("count"))
@@ -135,7 +135,7 @@ def zero_fill_hours(counts: DataFrame) -> DataFrame:
 def student_activity(b: DataFrame) -> DataFrame:
     """Hours and last readable timestamp per student."""
     return (
-        learner_grain(b)
+        rows_of(b, ENROLMENT)
         .groupBy("student_id", "student_name")
         .agg(_total("seconds").alias("seconds"), F.max("last_ts").alias("last_ts"))
         .select(
@@ -147,11 +147,17 @@ def student_activity(b: DataFrame) -> DataFrame:
     )
 
 
+def by_enrolment(b: DataFrame, by: tuple[str, ...]) -> GroupedData:
+    """Groups by students, courses or both."""
+    if not set(by) <= set(GRAINS[ENROLMENT]):
+        raise ValueError(f"cannot group by {by}")
+    return rows_of(b, ENROLMENT).groupBy(*by)
+
+
 def last_activity(b: DataFrame, by: tuple[str, ...] = ("student_id",)) -> DataFrame:
-    """Date of the last activity per student, or per any set of learner dimensions."""
+    """Date of the last activity per student, per course, or per student and course."""
     return (
-        learner_grain(b)
-        .groupBy(*by)
+        by_enrolment(b, by)
         .agg(F.max("last_ts").cast("date").alias("last_activity"))
     )
 
@@ -159,7 +165,7 @@ def last_activity(b: DataFrame, by: tuple[str, ...] = ("student_id",)) -> DataFr
 def course_metrics(b: DataFrame) -> DataFrame:
     """Students, seconds, rows and seconds per student of each course."""
     per_course = (
-        learner_grain(b)
+        rows_of(b, ENROLMENT)
         .groupBy("course_id")
         .agg(
             F.count_distinct("student_id").alias("student_count"),
@@ -178,30 +184,34 @@ def student_profile(b: DataFrame) -> DataFrame:
     The set of courses itself is ``student_courses``: a relation stays distributed, an
     array per student would not.
     """
-    counts = [
-        F.sum(F.when(F.col("behavior_type") == code, F.col("n")).otherwise(0)).alias(f"n_{code}")
-        for code in S.BEHAVIORS
-    ]
+    m = measured(b)
+    enrolment, habit = in_grain(m, ENROLMENT), in_grain(m, HABIT)
+
+    def rows(code: str) -> Column:
+        counted = habit & (F.col("behavior_type") == code)
+        return F.sum(F.when(counted, F.col("n")).otherwise(0)).alias(f"n_{code}")
+
+    seconds = F.sum(F.when(enrolment, F.col("seconds")))
     return (
-        learner_grain(b)
+        m.filter(enrolment | habit)
         .groupBy("student_id")
         .agg(
-            _total("seconds").alias("total_duration"),
-            F.count_distinct("course_id").alias("course_count"),
-            *counts,
+            F.coalesce(seconds, F.lit(0).cast("bigint")).alias("total_duration"),
+            F.count_distinct(F.when(enrolment, F.col("course_id"))).alias("course_count"),
+            *[rows(code) for code in S.BEHAVIORS],
         )
     )
 
 
 def student_courses(b: DataFrame) -> DataFrame:
     """The set of courses of each student, one row per member."""
-    return learner_grain(b).select("student_id", "course_id").distinct()
+    return rows_of(b, ENROLMENT).select("student_id", "course_id").distinct()
 
 
 def student_avg_score(b: DataFrame) -> DataFrame:
     """Mean score of students with at least one score."""
     scored = (
-        learner_grain(b)
+        rows_of(b, ENROLMENT)
         .groupBy("student_id")
         .agg(F.sum("score_tenths").alias("tenths"), F.sum("score_n").alias("n_scores"))
         .filter(F.col("n_scores") > 0)
@@ -212,7 +222,7 @@ def student_avg_score(b: DataFrame) -> DataFrame:
 
 def student_behavior_duration(b: DataFrame, wide: bool = False) -> DataFrame:
     """Seconds per student and behaviour, as rows or with a column per known behaviour."""
-    m = learner_grain(b)
+    m = rows_of(b, HABIT)
     if wide:
         return (
             m.groupBy("student_id")
@@ -225,12 +235,12 @@ def student_behavior_duration(b: DataFrame, wide: bool = False) -> DataFrame:
 
 def student_behavior_counts(b: DataFrame) -> DataFrame:
     """Rows per student and behaviour."""
-    return learner_grain(b).groupBy("student_id", "behavior_type").agg(F.sum("n").alias("count"))
+    return rows_of(b, HABIT).groupBy("student_id", "behavior_type").agg(F.sum("n").alias("count"))
 
 
 def student_total(b: DataFrame, student_id: str) -> DataFrame:
     """Seconds of one student."""
-    one = learner_grain(b).filter(F.col("student_id") == student_id)
+    one = rows_of(b, ENROLMENT).filter(F.col("student_id") == student_id)
     return one.agg(_total("seconds").alias("total_duration"))
 
 
@@ -241,14 +251,14 @@ def distinct_count(b: DataFrame, column: str) -> DataFrame:
 
 def device_distribution(b: DataFrame) -> DataFrame:
     """Rows and share per device."""
-    counts = activity_grain(b).groupBy("device_type").agg(F.sum("n").alias("count"))
+    counts = rows_of(b, ACTIVITY).groupBy("device_type").agg(F.sum("n").alias("count"))
     return _with_percent(counts).orderBy("device_type")
 
 
 def weekend_split(b: DataFrame) -> DataFrame:
     """Rows and share of weekdays (0) and weekends (1)."""
     counts = (
-        activity_grain(b)
+        rows_of(b, ACTIVITY)
         .filter(F.col("event_date").isNotNull())
         .groupBy(is_weekend(F.col("event_date")).alias("is_weekend"))
         .agg(F.sum("n").alias("count"))
@@ -263,7 +273,7 @@ def reconcile_duration(b: DataFrame) -> DataFrame:
     from subtotals.
     """
     pairs = (
-        learner_grain(b)
+        rows_of(b, ENROLMENT)
         .groupBy("student_id", "course_id")
         .agg(F.sum("seconds").alias("seconds"))
     )
@@ -289,21 +299,15 @@ def reconcile_duration(b: DataFrame) -> DataFrame:
 
 def partition_counts(b: DataFrame) -> DataFrame:
     """Rows per date; unreadable dates share the null row, so the counts add up."""
-    return activity_grain(b).groupBy("event_date").agg(F.sum("n").alias("count"))
+    return rows_of(b, ACTIVITY).groupBy("event_date").agg(F.sum("n").alias("count"))
 
 
 def latest_names(b: DataFrame, key: str = "student_id", name: str = "student_name") -> DataFrame:
     """The last name of each id: two steps, so only (id, name) groups meet text buffers."""
-    seen = learner_grain(b).groupBy(key, name).agg(F.max("last_ts").alias("last_ts"))
+    seen = rows_of(b, ENROLMENT).groupBy(key, name).agg(F.max("last_ts").alias("last_ts"))
     return seen.groupBy(key).agg(_latest(name).alias(name))
 
 
 def row_count(b: DataFrame) -> DataFrame:
     """Number of log rows."""
-    return learner_grain(b).agg(_total("n").alias("total_records"))
-
-
-def label_counts(b: DataFrame) -> DataFrame:
-    """Rows per behaviour code with its label."""
-    counts = measured(b).groupBy("behavior_type").agg(F.sum("n").alias("count"))
-    return counts.withColumn("label", label_behavior(F.col("behavior_type")))
+    return rows_of(b, ACTIVITY).agg(_total("n").alias("total_records"))

@@ -550,7 +550,7 @@ SELECT line,
             ELSE line END AS message
 FROM oplog"""
     fact = f"""
-SELECT student_id, student_name, course_id, course_name, behavior_type, count(*) AS n,
+SELECT student_id, student_name, course_id, course_name, count(*) AS n,
        CAST(sum(duration) AS BIGINT) AS seconds,
        CAST(sum(CAST(round(score * 10) AS BIGINT)) AS BIGINT) AS score_tenths,
        count(score) AS score_n, max("timestamp") AS last_activity
@@ -731,7 +731,7 @@ SELECT *, total_duration = student_total AND total_duration = course_total AS co
         "partition_counts": _raw(
             f"SELECT CAST({day} AS VARCHAR) AS event_date, count(*) AS count FROM raw GROUP BY 1"
         ),
-        "latest_names": _log(_latest_name("behavior_type", "student_name")),
+        "latest_names": _log(_latest_name("course_id", "student_name")),
         "row_count": _raw("SELECT count(*) AS total_records FROM raw"),
         # rankings
         "student_ranking": _log(_ranking("total_hours DESC, student_id, student_name")),

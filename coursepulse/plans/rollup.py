@@ -4,24 +4,27 @@ Every metric works on a *measured* frame: dimensions plus ``n``, ``seconds``, ``
 ``score_tenths`` and ``score_n``. A raw log is measured row by row, a rollup is measured
 already, and since all measures are sums or maxima both give the same results.
 
-A rollup holds two grains instead of one fine one. Student x course x behaviour and
-behaviour x device x hour each shrink a large log by orders of magnitude; their product
-hardly would. Both come from one scan through grouping sets, and all buffers are
-fixed-width, so the map-side hash aggregation never falls back to sorting.
+A rollup holds three coarse grains instead of one fine one: student x course, student x
+behaviour and behaviour x device x hour. Each shrinks a large log by orders of magnitude;
+their product hardly would. All come from one scan through grouping sets, and all buffers
+are fixed-width, so the map-side hash aggregation needs no sort.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from coursepulse import session
 from coursepulse.functions.timestamps import event_time
 
-LEARNER_DIMS = ["student_id", "student_name", "course_id", "course_name", "behavior_type"]
-ACTIVITY_DIMS = ["behavior_type", "device_type", "event_date", "event_hour"]
-DIMS = LEARNER_DIMS + [d for d in ACTIVITY_DIMS if d not in LEARNER_DIMS]
-LEARNER, ACTIVITY = "learner", "activity"
+ENROLMENT, HABIT, ACTIVITY = "enrolment", "habit", "activity"
+GRAINS = {
+    ENROLMENT: ["student_id", "student_name", "course_id", "course_name"],
+    HABIT: ["student_id", "behavior_type"],
+    ACTIVITY: ["behavior_type", "device_type", "event_date", "event_hour"],
+}
 
+MEASURES = ["n", "seconds", "last_ts", "score_tenths", "score_n"]
 ROLLUP_SCHEMA = T.StructType(
     [
         T.StructField("student_id", T.StringType()),
@@ -40,6 +43,7 @@ ROLLUP_SCHEMA = T.StructType(
         T.StructField("grain", T.StringType()),
     ]
 )
+DIMS = [f.name for f in ROLLUP_SCHEMA if f.name not in ("grain", *MEASURES)]
 
 
 def measured(b: DataFrame) -> DataFrame:
@@ -76,12 +80,15 @@ def _sums() -> list:
 
 
 def rollup(b: DataFrame) -> DataFrame:
-    """Both grains of a log in one scan, told apart by ``grain``."""
-    grains = [[F.col(d) for d in LEARNER_DIMS], [F.col(d) for d in ACTIVITY_DIMS]]
+    """All grains of a log in one scan, told apart by ``grain``."""
+    sets = [[F.col(d) for d in dims] for dims in GRAINS.values()]
+    grain = (
+        F.when(F.grouping("course_id") == 0, F.lit(ENROLMENT))
+        .when(F.grouping("student_id") == 0, F.lit(HABIT))
+        .otherwise(F.lit(ACTIVITY))
+    )
     keys = [F.col(d) for d in DIMS]
-    in_learner = F.grouping("student_id") == 0
-    grain = F.when(in_learner, F.lit(LEARNER)).otherwise(F.lit(ACTIVITY))
-    grouped = measured(b).groupingSets(grains, *keys).agg(*_sums(), grain.alias("grain"))
+    grouped = measured(b).groupingSets(sets, *keys).agg(*_sums(), grain.alias("grain"))
     return grouped.select(*ROLLUP_SCHEMA.fieldNames())
 
 
@@ -90,16 +97,15 @@ def merge(fact: DataFrame) -> DataFrame:
     return fact.groupBy("grain", *DIMS).agg(*_sums()).select(*ROLLUP_SCHEMA.fieldNames())
 
 
-def learner_grain(b: DataFrame) -> DataFrame:
-    """Measured rows that carry students and courses."""
-    m = measured(b)
-    return m.filter(F.col("grain") == LEARNER) if "grain" in m.columns else m
+def in_grain(m: DataFrame, grain: str) -> Column:
+    """Whether a measured row belongs to a grain; a log row belongs to all."""
+    return F.col("grain") == grain if "grain" in m.columns else F.lit(True)
 
 
-def activity_grain(b: DataFrame) -> DataFrame:
-    """Measured rows that carry devices, dates and hours."""
+def rows_of(b: DataFrame, grain: str) -> DataFrame:
+    """Measured rows of one grain; of a stored rollup only its folder is read."""
     m = measured(b)
-    return m.filter(F.col("grain") == ACTIVITY) if "grain" in m.columns else m
+    return m.filter(in_grain(m, grain))
 
 
 def write_rollup(b: DataFrame, path: str) -> DataFrame:

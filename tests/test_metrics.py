@@ -9,7 +9,7 @@ from coursepulse.plans.results import BATCH, REALTIME, six_results
 from coursepulse.plans.rollup import merge, rollup, stored_rollup
 from tests.conftest import as_set, frame, random_log, record, rows_of
 
-LOGS = [(50, 1), (400, 2)]
+LOGS = [(300, 2)]
 
 
 @pytest.fixture(scope="module", params=LOGS, ids=str)
