@@ -89,17 +89,17 @@ def triangular(
 def _by_behavior(behavior: Column, table: dict[str, tuple[int, ...]]) -> list[Column]:
     """The figures a table has for each behaviour, one column per position.
 
-    Looking figures up and computing once keeps the generated code small; a formula per
-    branch would outgrow what the JVM compiles. The last behaviour is the default.
+    Looking figures up by position and computing once keeps the generated code small; a
+    formula per branch would outgrow what the JVM compiles. An unknown behaviour has the
+    figures of the last one.
     """
-    names = list(table)
-    figures = []
-    for position in range(len(table[names[0]])):
-        case = F
-        for name in names[:-1]:
-            case = case.when(behavior == name, F.lit(table[name][position]))
-        figures.append(case.otherwise(F.lit(table[names[-1]][position])))
-    return figures
+    names = F.array(*[F.lit(name) for name in table])
+    found = F.coalesce(F.array_position(names, behavior), F.lit(0).cast("bigint"))
+    position = F.when(found == 0, len(table)).otherwise(found).cast("int")
+    return [
+        F.element_at(F.array(*[F.lit(v) for v in figures]), position)
+        for figures in zip(*table.values())
+    ]
 
 
 def duration_for(behavior: Column, u: Column, ranges=None) -> Column:

@@ -23,6 +23,12 @@ def behavior_from_index(idx: Column) -> Column:
     return case.otherwise(F.lit(S.BEHAVIORS[-1]))
 
 
+def zero_padded(number: Column, width: int) -> Column:
+    """A number with at least ``width`` digits; ``lpad`` alone would cut longer ones."""
+    text = number.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def inactive_level(days: Column) -> Column:
     """Severity of an absence of ``days`` days."""
     case = F

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from coursepulse import schema as S
 from coursepulse.functions import draws as D, timestamps as ts
+from coursepulse.functions.labels import zero_padded
 from coursepulse.plans import ranks
 from coursepulse.sources.readers import dim
 
@@ -34,12 +35,9 @@ def dense_index(df: DataFrame, order: list[Column]) -> DataFrame:
 
 def roster(spark: SparkSession, n: int) -> DataFrame:
     """``n`` students by rule."""
-    number = F.lpad(F.col("id").cast("string"), 4, "0")
     return spark.range(n).select(
         F.col("id").alias("idx"),
-        F.concat(F.lit("STU_2021"), F.greatest(number, F.col("id").cast("string"))).alias(
-            "student_id"
-        ),
+        F.concat(F.lit("STU_2021"), zero_padded(F.col("id"), 4)).alias("student_id"),
         F.concat(F.lit("学生"), F.col("id").cast("string")).alias("student_name"),
     )
 
@@ -192,7 +190,7 @@ def dataset_students(students: DataFrame, seed: int = 0) -> DataFrame:
         F.concat(
             F.lit("STU_202"),
             D.below(D.draw(seed, idx, 0), 3).cast("string"),
-            F.lpad(idx.cast("string"), 4, "0"),
+            zero_padded(idx, 4),
         ).alias("student_id"),
         "student_name",
         D.pick(D.draw(seed, idx, 1), S.MAJORS).alias("student_major"),
@@ -233,12 +231,10 @@ def synth_b22(
     )
     joined = join_courses(join_students(timed, students), courses)
     week = ts.week_number(day, start)
-    number = F.lpad(row.cast("string"), 4, "0")
     return joined.withColumns(
         {
             "record_id": F.concat(
-                F.lit("REC_"), ts.compact_text(when), F.lit("_"),
-                F.when(row < 10000, number).otherwise(row.cast("string")),
+                F.lit("REC_"), ts.compact_text(when), F.lit("_"), zero_padded(row, 4)
             ),
             "course_credits": F.col("credits"),
             "timestamp": ts.timestamp_text(when),

@@ -123,6 +123,11 @@ def _private_ip(u1: str, u2: str) -> str:
     return f"'192.168.' || {_octet(u1)} || '.' || {_octet(u2)}"
 
 
+def _zero_padded(number: str, width: int) -> str:
+    text = f"CAST({number} AS VARCHAR)"
+    return f"CASE WHEN {number} < {10**width} THEN lpad({text}, {width}, '0') ELSE {text} END"
+
+
 def _text(ts: str) -> str:
     return f"strftime({ts}, '%Y-%m-%d %H:%M:%S')"
 
@@ -452,10 +457,8 @@ def _synth_b22() -> str:
     return _with(
         f"""
 SELECT 'REC_' || strftime(event_ts, '%Y%m%d%H%M%S') || '_'
-         || CASE WHEN event_id < 10000 THEN lpad(CAST(event_id AS VARCHAR), 4, '0')
-                 ELSE CAST(event_id AS VARCHAR) END AS record_id,
-       'STU_202' || CAST({year} AS VARCHAR) || lpad(CAST(student_idx AS VARCHAR), 4, '0')
-         AS student_id,
+         || {_zero_padded('event_id', 4)} AS record_id,
+       'STU_202' || CAST({year} AS VARCHAR) || {_zero_padded('student_idx', 4)} AS student_id,
        c_name AS student_name, {_pick(_u('student_idx', 1), S.MAJORS)} AS student_major,
        course_id, course_name, credits AS course_credits, behavior_type,
        {_triangular_by_behavior('behavior_type', _u('event_id', 11))} AS duration,
@@ -646,7 +649,8 @@ FROM events LEFT JOIN customer ON c_custkey = user_id""",
         "join_courses": """
 SELECT event_id, 'COURSE_' || lpad(CAST(p_partkey + 1 AS VARCHAR), 3, '0') AS course_id,
        p_name AS course_name
-FROM events LEFT JOIN (SELECT * FROM part WHERE p_partkey BETWEEN 0 AND 7) ON p_partkey = user_id""",
+FROM events
+LEFT JOIN (SELECT * FROM part WHERE p_partkey BETWEEN 0 AND 7) ON p_partkey = user_id""",
         "zero_fill_hours": _log(_time(zero_fill=True)),
         "extra_keys": _raw(f"SELECT {KEY} FROM ({dwd}) EXCEPT SELECT {KEY} FROM raw"),
         "lost_keys": _raw(f"SELECT {KEY} FROM raw EXCEPT SELECT {KEY} FROM ({clean})"),

@@ -20,10 +20,8 @@ def global_row_number(
     position plus the sizes of the partitions before it; there is one size per partition,
     which bounds both the window and the broadcast.
     """
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = session.materialize(
-        df.repartitionByRange(partitions, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id()),
         "ranks",

@@ -84,7 +84,6 @@ LOG_WITH_CORRUPT = T.StructType(LOG.fields + [_optional(CORRUPT, T.StringType())
 B8_COLUMNS = B8.fieldNames()
 REQUIRED_FIELDS = B11.fieldNames()
 BUSINESS_KEY = ["student_id", "course_id", "timestamp", "behavior_type"]
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # ---------------------------------------------------------------------------
 # Codes, labels, thresholds and weights that results depend on.
@@ -166,7 +165,6 @@ STUDENT_PREFIX = "STU_"
 COURSE_PREFIX = "COURSE_"
 INGEST_TIME_ZONE = "Asia/Shanghai"
 MAX_LINE_LENGTH = 10240
-ROLL_BYTES = 134217728
 LOG_COMPONENTS = {
     "hadoop": ["HDFS", "YARN"],
     "spark": ["Spark"],

@@ -94,8 +94,8 @@ def land_stream(
     """Land a stream under ``year=/month=/day=``.
 
     ``by="ingest"`` files rows under the date of ``ingest_time``, ``by="event"`` under that
-    of their ``timestamp``. ``interval`` is the roll interval of a permanent stream; without
-    one, everything available is landed and the query ends.
+    of their ``timestamp``. ``interval`` is the roll interval of a permanent stream, such as
+    ``ROLL_INTERVAL``; without one, everything available is landed and the query ends.
     """
     if by == "ingest":
         day = F.col("ingest_time").cast("date")

@@ -24,6 +24,15 @@ def ranges_hold(df, table, inclusive):
         assert bounds[0] <= lo and (hi <= bounds[1] if inclusive else hi < bounds[1])
 
 
+def test_ids_grow_beyond_their_padding(spark):
+    ids = synth.roster(spark, 10002).filter("idx in (0, 7, 9999, 10000, 10001)")
+    got = [r.student_id for r in ids.orderBy("idx").collect()]
+    assert got == ["STU_20210000", "STU_20210007", "STU_20219999", "STU_202110000",
+                   "STU_202110001"]
+    students = synth.dataset_students(synth.roster(spark, 10500))
+    assert students.select("student_id").distinct().count() == 10500
+
+
 def test_standard_records(spark, dims):
     rows = synth.sequence_rows(spark, ROWS)
     b = synth.synth_b8(rows, *dims, seed=3)
