@@ -125,9 +125,18 @@ def time_distribution(b: DataFrame, zero_fill: bool = False) -> DataFrame:
 
 
 def zero_fill_hours(counts: DataFrame) -> DataFrame:
-    """All 24 hours, 0 where ``counts`` has none. Hours bound both sides to 24 rows."""
+    """All 24 hours, 0 where ``counts`` has none.
+
+    Grouping the hours of a day bounds the broadcast to 24 rows whatever the caller passes;
+    counts per hour are partitioned that way already, so it costs no shuffle.
+    """
     hours = counts.sparkSession.range(24).select(F.col("id").cast("int").alias("hour"))
-    return hours.join(F.broadcast(counts), "hour", "left").select(
+    bounded = (
+        counts.filter(F.col("hour").between(0, 23))
+        .groupBy("hour")
+        .agg(F.sum("count").alias("count"))
+    )
+    return hours.join(F.broadcast(bounded), "hour", "left").select(
         "hour", F.coalesce("count", F.lit(0).cast("bigint")).alias("count")
     )
 

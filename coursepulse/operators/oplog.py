@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from coursepulse import schema as S
 
+# Fixed value: the form of a log line, [time] [level] [module] message.
 LINE = r"\[([^\]]+)\]\s*\[([^\]]+)\]\s*\[([^\]]+)\]\s*(.*)"
 
 

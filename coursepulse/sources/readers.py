@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from coursepulse import schema as S
 
 PARTITIONS = ["year", "month", "day"]
+MAX_BROADCAST_ROWS = 100_000
 
 
 def parse_records(lines: DataFrame) -> DataFrame:
@@ -61,11 +62,12 @@ def read_partitioned_logs(
 def dim(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     """A dimension held in memory, with a dense ``idx`` in the order given.
 
-    Spark knows no size of such a frame and would shuffle both sides of a join with it.
-    The rows fit the caller's list, so the frame is marked for broadcast.
+    Spark knows no size of such a frame and would shuffle both sides of a join with it, so
+    up to a checked number of rows the frame is marked for broadcast.
     """
     indexed = [(i, *row) for i, row in enumerate(rows)]
-    return F.broadcast(spark.createDataFrame(indexed, _with_index(schema)))
+    df = spark.createDataFrame(indexed, _with_index(schema))
+    return F.broadcast(df) if len(indexed) <= MAX_BROADCAST_ROWS else df
 
 
 def _with_index(schema: str | T.StructType) -> T.StructType:

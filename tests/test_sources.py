@@ -134,3 +134,6 @@ def test_dimension_index_is_dense_and_broadcast(spark):
     assert rows_of(d) == [(0, "a", 1), (1, "b", 2)]
     joined = spark.range(10).join(d, F.col("id") == d["idx"], "left")
     assert "BroadcastHashJoin" in plan_of(joined)
+    large = readers.dim(spark, [(i,) for i in range(readers.MAX_BROADCAST_ROWS + 1)], "size int")
+    joined = spark.range(10).join(large, F.col("id") == large["idx"], "left")
+    assert "SortMergeJoin" in plan_of(joined)
