@@ -101,4 +101,4 @@ def good_records(logs: DataFrame) -> DataFrame:
 
 def quarantine(logs: DataFrame) -> DataFrame:
     """The text of lines that could not be read."""
-    return logs.filter(F.col(S.CORRUPT).isNotNull()).select(S.CORRUPT)
+    return logs.filter(F.col(S.CORRUPT).isNotNull()).select(F.col(S.CORRUPT).alias("line"))

@@ -13,8 +13,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from coursepulse import schema as S
 from coursepulse.plans.results import REALTIME, six_results
 from coursepulse.plans.rollup import ROLLUP_SCHEMA, merge, rollup
+from coursepulse.sources.readers import good_records, quarantine
 from coursepulse.streaming.ingest import stream_logs
 
 FACT_SCHEMA = T.StructType([*ROLLUP_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
@@ -32,20 +34,39 @@ def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
     )
 
 
+def write_quarantine(batch: DataFrame, batch_id: int, path: str) -> None:
+    """Store the lines of one micro-batch that are no records, replacing an earlier attempt."""
+    (
+        quarantine(batch)
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .json(path)
+    )
+
+
 def running_fact(
     stream: DataFrame,
     path: str,
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     interval: str | None = None,
+    quarantine_path: str | None = None,
 ) -> StreamingQuery:
     """Keep the fact at ``path`` up to date with a stream of log records.
 
-    ``prepare`` is applied to each micro-batch, for instance to clean it.
+    ``prepare`` is applied to each micro-batch, for instance to clean it. Lines that are no
+    records are not counted; with ``quarantine_path`` they are stored there.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        write_batch(prepare(batch) if prepare else batch, batch_id, path)
+        records = batch
+        if S.CORRUPT in batch.columns:
+            if quarantine_path is not None:
+                write_quarantine(batch, batch_id, quarantine_path)
+            records = good_records(batch)
+        write_batch(prepare(records) if prepare else records, batch_id, path)
 
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return (
@@ -117,9 +138,10 @@ def incremental_refresh(
     as_of: str,
     preset: str = REALTIME,
     max_files: int | None = None,
+    quarantine_path: str | None = None,
     **options,
 ) -> dict[str, DataFrame]:
     """Take in the files that are new since the last call, then give all six results."""
     stream = stream_logs(spark, landing, max_files=max_files)
-    running_fact(stream, path, checkpoint).awaitTermination()
+    running_fact(stream, path, checkpoint, quarantine_path=quarantine_path).awaitTermination()
     return snapshot_results(spark, path, as_of, preset, **options)

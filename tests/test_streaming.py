@@ -85,6 +85,19 @@ def test_refresh_reads_new_files_only(spark, tmp_path):
         assert running.snapshot(spark, fact).select("batch_id").distinct().count() == upto // 50
 
 
+def test_lines_that_are_no_records_are_not_counted_but_kept(spark, tmp_path):
+    landing, fact, ck, bad = (str(tmp_path / d) for d in ("landing", "fact", "ck", "bad"))
+    rows = random_log(30, 16)
+    land(spark, rows, landing, 1)
+    (tmp_path / "landing" / "more.json").write_text("{broken\nnoise\n", encoding="utf-8")
+    results = running.incremental_refresh(
+        spark, landing, fact, ck, AS_OF, BATCH, quarantine_path=bad
+    )
+    assert same_results(results, six_results(frame(spark, rows), AS_OF, BATCH))
+    kept = spark.read.schema("line string, batch_id bigint").json(bad)
+    assert sorted(rows_of(kept)) == [("noise", 0), ("{broken", 0)]
+
+
 def test_a_batch_can_be_cleaned_first(spark, tmp_path):
     landing, fact, ck = (str(tmp_path / d) for d in ("landing", "fact", "ck"))
     rows = random_log(50, 11)
