@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from coursepulse.llm import byte_bpe, golay_simhash
+from coursepulse.llm import byte_bpe, golay_simhash, token_counts, toxicity
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+FOLDS = 5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +47,33 @@ def op4_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out(doc_id: Column) -> Column:
+    """Rows whose labels are never learnt; null ids are none of them."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "threshold",
+        "rejected",
+    )
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, WORD_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_golay_simhash": op4_golay_simhash,
+    "op5_toxicity": op5_toxicity,
+    "op6_token_counts": op6_token_counts,
 }
