@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from coursepulse.llm import byte_bpe, golay_simhash, token_counts, toxicity
+from coursepulse.llm import byte_bpe, golay_simhash, secrets, sharding, token_counts, toxicity
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 FOLDS = 5
+SHARDS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,21 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(docs, carry=["doc_id"])
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    count = lambda kind: F.size(of(kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        _sha256(secrets.digest(of(0, 1, 2))).alias("base_sha256"),
+        secrets.digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = golay_simhash.near_duplicates(docs, shingle=3)
@@ -71,9 +87,23 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, WORD_BPE)
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), SHARDS).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_secrets": op3_secrets,
     "op4_golay_simhash": op4_golay_simhash,
     "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
+    "op10_sharding": op10_sharding,
 }
