@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from coursepulse.llm import byte_bpe, golay_simhash, secrets, sharding, token_counts, toxicity
+from coursepulse.llm import (
+    byte_bpe,
+    decontaminate,
+    golay_simhash,
+    iblt,
+    secrets,
+    sharding,
+    token_counts,
+    toxicity,
+)
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -87,6 +96,16 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, WORD_BPE)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+def op8_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.compare(iblt.edited_versions(table(spark, sf_dir, "documents")))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id",
@@ -105,5 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_golay_simhash": op4_golay_simhash,
     "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_iblt": op8_iblt,
     "op10_sharding": op10_sharding,
 }
