@@ -12,6 +12,7 @@ from coursepulse.llm import (
     decontaminate,
     golay_simhash,
     iblt,
+    repeats,
     secrets,
     sharding,
     token_counts,
@@ -106,6 +107,18 @@ def op8_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.compare(iblt.edited_versions(table(spark, sf_dir, "documents")))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        gone.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        _sha256(F.col("kept")).alias("kept_sha256"),
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id",
@@ -126,5 +139,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_decontaminate": op7_decontaminate,
     "op8_iblt": op8_iblt,
+    "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
 }
