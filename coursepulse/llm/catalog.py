@@ -16,6 +16,7 @@ from coursepulse.llm import (
     secrets,
     sharding,
     token_counts,
+    tool_calls,
     toxicity,
 )
 
@@ -33,6 +34,39 @@ def _sha256(value: Column) -> Column:
     return F.sha2(value, 256)
 
 
+# Tools of the derived calls: key to (kind, required).
+TOOLS = {
+    "search": {"q": ("string", True), "n": ("integer", False), "turn": ("integer", False)},
+    "translate": {"q": ("string", True), "n": ("string", False), "turn": ("integer", False)},
+    "summarize": {"q": ("string", True)},
+}
+
+
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user turn is a call that builds on the one two turns before; replies are results.
+
+    Every fourth turn from the third leaves its text out of the arguments.
+    """
+    said = table(spark, sf_dir, "conversations")
+    turn, n = F.col("turn"), F.length("text")
+    name = lambda step: F.concat(F.lit("t"), (turn - step).cast("string"))
+    fields = [turn, F.col("text").alias("q"), n.alias("n")]
+    calls = said.filter(F.col("role") == "user").select(
+        "conv_id",
+        name(0).alias("call_id"),
+        F.when(turn >= 2, name(2)).alias("parent_id"),
+        "turn",
+        F.when(n % 3 == 0, "search").when(n % 3 == 1, "translate").otherwise("summarize").alias("name"),
+        F.when(turn % 4 == 2, F.to_json(F.struct(fields[0], fields[2])))
+        .otherwise(F.to_json(F.struct(*fields)))
+        .alias("arguments"),
+    )
+    results = said.filter(F.col("role") == "assistant").select(
+        "conv_id", name(1).alias("call_id"), "turn", F.col("text").alias("content")
+    )
+    return tool_calls.link(calls, results, tool_calls.schema_frame(spark, TOOLS))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(BYTE_RANKS)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -132,6 +166,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tool_calls": op1_tool_calls,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secrets": op3_secrets,
     "op4_golay_simhash": op4_golay_simhash,

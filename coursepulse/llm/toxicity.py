@@ -215,6 +215,7 @@ def fit(
     label: str = "toxic",
     lang: str = "lang",
     sample: int = SAMPLE,
+    label_id: str = "doc_id",
 ) -> Model:
     """A model from at most ``sample`` labelled rows of either class.
 
@@ -222,8 +223,8 @@ def fit(
     shuffled; the driver gets word numbers of the chosen rows only.
     """
     known = (
-        labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(id_col).alias("id"))
+        labels.filter(F.col(label_id).isNotNull() & F.col(label).isNotNull())
+        .groupBy(F.col(label_id).cast("bigint").alias("id"))
         .agg(F.max(label).cast("int").alias("label"))
     )
     chosen = None
