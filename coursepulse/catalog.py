@@ -27,6 +27,7 @@ AS_OF_DATE = "2024-01-31"
 TERM_START = "2024-01-01"
 EXAM_WEEKS = (3, 4)
 ROSTER = 200
+BATCH_ROWS = 100
 SECOND_HALF = "2024-01-16 00:00:00"
 RANGE = ("2024-01-05", "2024-01-20")
 ONE_STUDENT = "STU_00000007"
@@ -117,7 +118,7 @@ def read_json_logs(spark: SparkSession, sf: str) -> DataFrame:
 def read_csv_logs(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     writers.write_logs(synth_b22(spark, sf), path, "csv")
-    return readers.read_csv_logs(spark, path)
+    return readers.good_records(readers.read_csv_logs(spark, path))
 
 
 def read_partitioned_logs(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,6 +136,12 @@ def dim(spark: SparkSession, sf: str) -> DataFrame:
     return codes.join(counts, "behavior_type", "left")
 
 
+def batch_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """The first records of the log, held by the caller, as a frame of mandatory fields."""
+    first = X.behavior(spark, sf).select(*S.B8.fieldNames()).orderBy("record_id").limit(BATCH_ROWS)
+    return readers.batch_frame(spark, [tuple(r) for r in first.collect()])
+
+
 def dense_index(spark: SparkSession, sf: str) -> DataFrame:
     students = X.behavior(spark, sf).select("student_id", "student_name").distinct()
     return synth.dense_index(students, [F.asc("student_id"), F.asc("student_name")])
@@ -165,7 +172,7 @@ def write_logs(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "logs")
     log = X.behavior(spark, sf)
     writers.write_logs(log, path, "csv")
-    return readers.read_csv_logs(spark, path, log.schema)
+    return readers.good_records(readers.read_csv_logs(spark, path, log.schema))
 
 
 def write_partitioned(spark: SparkSession, sf: str) -> DataFrame:
@@ -260,7 +267,8 @@ def zero_fill_hours(spark: SparkSession, sf: str) -> DataFrame:
 
 def extra_keys(spark: SparkSession, sf: str) -> DataFrame:
     raw = X.behavior_raw(spark, sf, names=False)
-    return cleaning.extra_keys(cleaning.dwd(raw), raw)
+    # Deduplication keeps every key, so the keys of the cleaned rows are those of the layer.
+    return cleaning.extra_keys(cleaning.clean(raw), raw)
 
 
 def lost_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,7 +320,7 @@ def stream_logs(spark: SparkSession, sf: str) -> DataFrame:
 def split_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents as lines; the long ones become several."""
     docs = X.table(spark, sf, "documents")
-    pieces = ingest.split_lines(docs.select("doc_id", F.col("text").alias("value")))
+    pieces = ingest.split_lines(docs.select("doc_id", F.col("text").alias("value")), S.MAX_LINE_LENGTH)
     return pieces.select(
         "doc_id", F.length("value").cast("bigint").alias("chars"), F.md5("value").alias("digest")
     )
@@ -340,9 +348,7 @@ def with_ingest_meta(spark: SparkSession, sf: str) -> DataFrame:
 def land_stream(spark: SparkSession, sf: str) -> DataFrame:
     stream = ingest.stream_logs(spark, _landed(spark, sf))
     out = scratch_path(spark, "dated")
-    ingest.land_stream(
-        stream.drop(S.CORRUPT), out, scratch_path(spark, "checkpoint"), by="event"
-    ).awaitTermination()
+    ingest.land_stream(stream, out, scratch_path(spark, "checkpoint"), by="event").awaitTermination()
     return readers.good_records(readers.read_partitioned_logs(spark, out))
 
 
@@ -384,6 +390,23 @@ def incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return flat_results(results)
 
 
+def compact(spark: SparkSession, sf: str) -> DataFrame:
+    """Results from a fact whose first batch was merged and removed before the second came."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "fact")
+    checkpoint, merged = scratch_path(spark, "checkpoint"), scratch_path(spark, "merged")
+    upto, results = None, {}
+    for half in _halves(X.behavior(spark, sf)):
+        writers.write_json(half, landing, mode="append")
+        results = running.incremental_refresh(
+            spark, landing, path, checkpoint, AS_OF, BATCH,
+            compacted=merged, upto=upto, roster_size=ROSTER,
+        )
+        if upto is None:
+            upto = running.compact(spark, path, merged)
+            running.drop_merged(spark, path, upto)
+    return flat_results(results)
+
+
 # --- generation --------------------------------------------------------------------------
 
 
@@ -497,7 +520,8 @@ QUERIES: dict[str, Query] = {
     "read_partitioned_logs": read_partitioned_logs,
     "dim": dim,
     "dense_index": dense_index,
-    "batch_frame": _on_log(readers.conform, names=True),
+    "batch_frame": batch_frame,
+    "conform": _on_log(readers.conform, names=True),
     "sequence_rows": sequence_rows,
     # sinks
     "write_json": write_json,
@@ -543,11 +567,11 @@ QUERIES: dict[str, Query] = {
     "student_activity": _on_raw(metrics.student_activity, names=True),
     "last_activity": _on_raw(lambda b: _text_date(metrics.last_activity(b), "last_activity")),
     "course_metrics": _on_log(metrics.course_metrics),
-    "student_profile": _on_log(metrics.student_profile),
+    "student_profile": _on_raw(metrics.student_profile),
     "student_courses": _on_log(metrics.student_courses),
     "student_avg_score": _on_log(metrics.student_avg_score),
     "student_behavior_duration": _on_log(metrics.student_behavior_duration),
-    "student_behavior_duration_wide": _on_log(
+    "student_behavior_duration_wide": _on_raw(
         lambda b: metrics.student_behavior_duration(b, wide=True)
     ),
     "student_behavior_counts": _on_log(metrics.student_behavior_counts),
@@ -620,6 +644,7 @@ QUERIES: dict[str, Query] = {
     "running_fact": running_fact,
     "snapshot_results": snapshot_results,
     "incremental_refresh": incremental_refresh,
+    "compact": compact,
     # generation
     "synth_b8": synth_b8,
     "synth_b11": synth_b11,

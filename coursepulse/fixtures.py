@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from coursepulse import schema as S
 from coursepulse.functions import timestamps as ts
+from coursepulse.functions.labels import zero_padded
 
 COURSE_COUNT = 8
 # Which event type stands for which behaviour and log level.
@@ -16,6 +17,13 @@ EVENT_BEHAVIOR = {
     "click": "forum_post",
 }
 EVENT_LEVEL = {"error": "ERROR", "signup": "WARN", "click": "DEBUG"}
+# Texts that are no timestamps, some of them close to one.
+BROKEN_TIMES = [
+    "garbage",
+    "2024-01-10 8:00:00Z",
+    "2024-01-10 08:00:0Z",
+    "2024-01-10         ",
+]
 LOG_MODULES = ["Web", "HDFS", "YARN", "Spark", "Flume"]
 
 
@@ -60,11 +68,11 @@ def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def student_id(user: Column) -> Column:
-    return F.concat(F.lit("STU_"), F.lpad(user.cast("string"), 8, "0"))
+    return F.concat(F.lit("STU_"), zero_padded(user, 8))
 
 
 def course_id(number: Column) -> Column:
-    return F.concat(F.lit("COURSE_"), F.lpad((number + 1).cast("string"), 3, "0"))
+    return F.concat(F.lit("COURSE_"), zero_padded(number + 1, 3))
 
 
 def _lookup(code: Column, table: dict[str, str], default: str) -> Column:
@@ -89,7 +97,7 @@ def behavior(spark: SparkSession, sf_dir: str, names: bool = True) -> DataFrame:
         )
     event_id, user = F.col("event_id"), F.col("user_id")
     columns = {
-        "record_id": F.lpad(event_id.cast("string"), 12, "0"),
+        "record_id": zero_padded(event_id, 12),
         "student_id": student_id(user),
         "student_name": F.col("student_name") if names else None,
         "course_id": course_id(F.col("course_no")),
@@ -106,9 +114,7 @@ def behavior(spark: SparkSession, sf_dir: str, names: bool = True) -> DataFrame:
         "device_type": F.element_at(
             F.array(*[F.lit(d) for d in S.DEVICES]), (event_id % 3 + 1).cast("int")
         ),
-        "chapter_id": F.concat(
-            F.lit("CH_"), F.lpad((F.col("k") % 12 + 1).cast("string"), 3, "0")
-        ),
+        "chapter_id": F.concat(F.lit("CH_"), zero_padded(F.col("k") % 12 + 1, 3)),
         "score": F.when(
             F.col("behavior_type").isin(S.SCORED_BEHAVIORS),
             (F.col("cents") % 1001).cast("double") / F.lit(10.0),
@@ -131,7 +137,14 @@ def behavior_raw(spark: SparkSession, sf_dir: str, names: bool = True) -> DataFr
             "behavior_type": damage("behavior_type", 103, F.lit(None).cast("string")),
             "course_id": damage("course_id", 107, F.lit("")),
             "ip_address": damage("ip_address", 109, F.concat("ip_address", F.lit(".1"))),
-            "timestamp": damage("timestamp", 113, F.lit("garbage")),
+            "timestamp": damage(
+                "timestamp",
+                113,
+                F.element_at(
+                    F.array(*(F.lit(x) for x in BROKEN_TIMES)),
+                    (F.call_function("div", no, F.lit(113)) % len(BROKEN_TIMES) + 1).cast("int"),
+                ),
+            ),
         }
     )
     copies = F.when(no % 50 == 0, F.array(F.lit(""), F.lit("dup"))).otherwise(F.array(F.lit("")))

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from coursepulse import schema as S
+from coursepulse.functions.labels import zero_padded
 
 TWO_32 = 2**32
 
@@ -86,36 +87,44 @@ def triangular(
     return F.floor(F.when(x < (mode - low) / (high - low), left).otherwise(right))
 
 
-def _by_behavior(behavior: Column, table: dict[str, tuple[int, ...]]) -> list[Column]:
+def _by_behavior(
+    behavior: Column, table: dict[str, tuple[int, ...]], default: tuple[int, ...] | None = None
+) -> list[Column]:
     """The figures a table has for each behaviour, one column per position.
 
     Looking figures up by position and computing once keeps the generated code small; a
     formula per branch would outgrow what the JVM compiles. An unknown behaviour has the
-    figures of the last one.
+    figures of ``default``, or else of the last one.
     """
+    last = next(reversed(table.values())) if default is None else default
     names = F.array(*[F.lit(name) for name in table])
     found = F.coalesce(F.array_position(names, behavior), F.lit(0).cast("bigint"))
-    position = F.when(found == 0, len(table)).otherwise(found).cast("int")
+    position = F.when(found == 0, len(table) + 1).otherwise(found).cast("int")
     return [
         F.element_at(F.array(*[F.lit(v) for v in figures]), position)
-        for figures in zip(*table.values())
+        for figures in zip(*table.values(), last)
     ]
 
 
-def duration_for(behavior: Column, u: Column, ranges=None) -> Column:
-    """Uniform seconds in the behaviour's [low, high) range."""
+def duration_for(behavior: Column, u: Column, ranges=None, default=None) -> Column:
+    """Uniform seconds in the behaviour's [low, high) range, ``default`` for unknown ones."""
     ranges = S.BATCH_DURATIONS if ranges is None else ranges
-    return uniform_int(u, *_by_behavior(behavior, ranges))
+    return uniform_int(u, *_by_behavior(behavior, ranges, default))
 
 
 def inclusive_duration_for(behavior: Column, u: Column) -> Column:
     """Uniform seconds in the behaviour's [low, high] range."""
-    return duration_for(behavior, u, {b: (lo, hi + 1) for b, (lo, hi) in S.LOG_DURATIONS.items()})
+    ranges = {b: (lo, hi + 1) for b, (lo, hi) in S.LOG_DURATIONS.items()}
+    low, high = S.LOG_DURATION_DEFAULT
+    return duration_for(behavior, u, ranges, (low, high + 1))
 
 
 def triangular_duration_for(behavior: Column, u: Column) -> Column:
-    """Triangular seconds with the behaviour's low, high and mode."""
-    return triangular(u, *_by_behavior(behavior, S.TRIANGULAR_DURATIONS))
+    """Triangular seconds with the behaviour's low, high and mode; uniform for unknown ones."""
+    known = F.coalesce(behavior.isin(list(S.TRIANGULAR_DURATIONS)), F.lit(False))
+    drawn = triangular(u, *_by_behavior(behavior, S.TRIANGULAR_DURATIONS))
+    low, high = S.DATASET_DURATION_DEFAULT
+    return F.when(known, drawn).otherwise(uniform_int(u, F.lit(low), F.lit(high + 1)))
 
 
 def gaussian(u1: Column, u2: Column, mean: float, sd: float) -> Column:
@@ -151,7 +160,7 @@ def chapter(chapters: Column, week: Column, u: Column) -> Column:
         chapters, F.call_function("div", week.cast("bigint") * chapters, F.lit(S.TERM_WEEKS))
     )
     number = F.greatest(F.lit(1), F.least(chapters, expected + below(u, 5) - 2))
-    return F.concat(F.lit("CH_"), F.lpad(number.cast("string"), 3, "0"))
+    return F.concat(F.lit("CH_"), zero_padded(number, 3))
 
 
 def campus_ip(u_prefix: Column, u_third: Column, u_fourth: Column) -> Column:

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from coursepulse import schema as S
+
 
 def event_time(ts: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text as a zone-free timestamp; null when malformed.
 
-    The cast parser is several times faster than a pattern formatter; the length and the
-    blank in the middle pin the fixed-width format it would otherwise be lenient about.
+    The cast parser is several times faster than a pattern formatter; the pattern pins the
+    fixed-width format it would otherwise be lenient about. (The length keeps out a line
+    break, which the pattern's end would let pass.)
     """
-    fixed_width = (F.length(ts) == 19) & (F.substring(ts, 11, 1) == " ")
+    fixed_width = (F.length(ts) == 19) & ts.rlike(S.TIMESTAMP_PATTERN)
     return F.when(fixed_width, ts.try_cast("timestamp_ntz"))
 
 

@@ -26,14 +26,17 @@ def clean(b: DataFrame) -> DataFrame:
 
 
 def dedup(b: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """The first record of each business key, by record_id, then by the other columns.
+    """The first record of each business key, by record_id, then by a hash of the others.
 
-    ``row_number() = 1`` is planned with a group limit before the shuffle: a key that fills
+    One number instead of all columns keeps the sort narrow; records that share it are equal
+    but for a collision of 64 bits. ``row_number() = 1`` is planned with a group limit before the shuffle: a key that fills
     a third of the log sends one row per task.
     """
     key = S.BUSINESS_KEY if key is None else key
     rest = [c for c in b.columns if c not in key and c != "record_id"]
-    order = (["record_id"] if "record_id" in b.columns else []) + rest
+    order = [F.col("record_id")] if "record_id" in b.columns else []
+    if rest:
+        order.append(F.xxhash64(*rest))
     window = Window.partitionBy(*key).orderBy(*(order or key))
     return b.withColumn("_nth", F.row_number().over(window)).filter("_nth = 1").drop("_nth")
 

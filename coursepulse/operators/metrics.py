@@ -187,8 +187,14 @@ def course_metrics(b: DataFrame) -> DataFrame:
     return per_course.withColumn("avg_duration", per_head)
 
 
+def _is_other() -> Column:
+    """Whether a behaviour is null or none of the known ones."""
+    return ~F.coalesce(F.col("behavior_type").isin(S.BEHAVIORS), F.lit(False))
+
+
 def student_profile(b: DataFrame) -> DataFrame:
-    """Seconds, number of courses and rows per behaviour of each student.
+    """Seconds, number of courses and rows per behaviour of each student; null and unknown
+    behaviours are counted as ``n_other``, so that the counts add up to the rows.
 
     The set of courses itself is ``student_courses``: a relation stays distributed, an
     array per student would not.
@@ -208,6 +214,7 @@ def student_profile(b: DataFrame) -> DataFrame:
             F.coalesce(seconds, F.lit(0).cast("bigint")).alias("total_duration"),
             F.count_distinct(F.when(enrolment, F.col("course_id"))).alias("course_count"),
             *[rows(code) for code in S.BEHAVIORS],
+            F.sum(F.when(habit & _is_other(), F.col("n")).otherwise(0)).alias("n_other"),
         )
     )
 
@@ -230,14 +237,19 @@ def student_avg_score(b: DataFrame) -> DataFrame:
 
 
 def student_behavior_duration(b: DataFrame, wide: bool = False) -> DataFrame:
-    """Seconds per student and behaviour, as rows or with a column per known behaviour."""
+    """Seconds per student and behaviour, as rows or with a column per known behaviour.
+
+    The wide form has a column ``other`` for null and unknown behaviours.
+    """
     m = rows_of(b, HABIT)
     if wide:
-        return (
-            m.groupBy("student_id")
-            .pivot("behavior_type", S.BEHAVIORS)
-            .agg(F.sum("seconds"))
-            .na.fill(0, S.BEHAVIORS)
+        parts = {code: F.col("behavior_type") == code for code in S.BEHAVIORS}
+        parts["other"] = _is_other()
+        return m.groupBy("student_id").agg(
+            *[
+                F.coalesce(F.sum(F.when(part, F.col("seconds"))), F.lit(0).cast("bigint")).alias(name)
+                for name, part in parts.items()
+            ]
         )
     return m.groupBy("student_id", "behavior_type").agg(_total("seconds").alias("duration"))
 

@@ -34,6 +34,8 @@ def search_oplog(
     """Lines of a component, a level and containing a keyword."""
     found = parsed
     if component != "all":
+        if component not in S.LOG_COMPONENTS:
+            raise ValueError(f"unknown component {component!r}: all, {', '.join(S.LOG_COMPONENTS)}")
         found = found.filter(F.col("module").isin(S.LOG_COMPONENTS[component]))
     if level:
         found = found.filter(F.col("level") == level)
@@ -58,8 +60,16 @@ class JobReport:
     error: str | None = None
 
 
+class JobFailed(RuntimeError):
+    """A job that was reported and then given up; the failure itself is the cause."""
+
+    def __init__(self, report: JobReport) -> None:
+        super().__init__(f"{report.name}: {report.error}")
+        self.report = report
+
+
 def observe_job(df: DataFrame, name: str, run: Callable[[DataFrame], None]) -> JobReport:
-    """Run ``run(df)`` and report rows, elapsed time and status.
+    """Run ``run(df)`` and report rows, elapsed time and status; a failure is raised with it.
 
     The rows are counted while they pass through the job, not in a scan of their own.
     """
@@ -68,5 +78,6 @@ def observe_job(df: DataFrame, name: str, run: Callable[[DataFrame], None]) -> J
     try:
         run(df.observe(seen, F.count(F.lit(1)).alias("records")))
     except Exception as failure:
-        return JobReport(name, 0, time.monotonic() - start, "failed", str(failure))
+        report = JobReport(name, 0, time.monotonic() - start, "failed", str(failure))
+        raise JobFailed(report) from failure
     return JobReport(name, seen.get["records"], time.monotonic() - start, "succeeded")

@@ -26,16 +26,18 @@ def default_rules(b: DataFrame, ip_pattern: str = S.IP_PATTERN) -> dict[str, Col
     missing = [col(f).isNull() for f in S.REQUIRED_FIELDS if f != "score"]
     if "score" not in b.columns:
         missing.append(F.lit(True))
-    score = col("score").cast("double")
+    score = col("score").try_cast("double")
+    # A fraction or a text is no positive integer; neither may end the report.
+    seconds = col("duration").try_cast("double")
     return {
         "required_fields": reduce(lambda x, y: x | y, missing),
         "behavior_enum": _unless(text("behavior_type").isin(S.BEHAVIORS)),
         "device_enum": _unless(text("device_type").isin(S.DEVICES)),
-        "duration_positive": _unless(col("duration").cast("bigint") > 0),
+        "duration_positive": _unless((seconds > 0) & (seconds == F.floor(seconds))),
         "student_id_prefix": _unless(text("student_id").startswith(S.STUDENT_PREFIX)),
         "course_id_prefix": _unless(text("course_id").startswith(S.COURSE_PREFIX)),
         "timestamp_format": _unless(text("timestamp").rlike(S.TIMESTAMP_PATTERN)),
-        "score_range": _unless(score.isNull() | score.between(0, 100)),
+        "score_range": _unless(col("score").isNull() | score.between(0, 100)),
         "ip_format": _unless(text("ip_address").rlike(ip_pattern)),
     }
 

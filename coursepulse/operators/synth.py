@@ -18,7 +18,6 @@ from coursepulse.sources.readers import dim
 
 TERM_START = "2025-09-01"
 TERM_DAYS = 115
-MAX_SLOT_DAYS = 3660
 # Acceptance weights are multiples of 0.05 out of 4.0, hence whole units out of 80.
 SLOT_UNITS = 80
 
@@ -128,7 +127,7 @@ def synth_b11(
     return joined.withColumns(
         {
             "duration": D.inclusive_duration_for(behavior, u(7)),
-            "chapter_id": F.concat(F.lit("CH_"), F.lpad(chapter_no.cast("string"), 3, "0")),
+            "chapter_id": F.concat(F.lit("CH_"), zero_padded(chapter_no, 3)),
             "score": D.score(behavior, u(11), u(12)),
         }
     ).select(*S.B11.fieldNames())
@@ -152,10 +151,10 @@ def weighted_ts(
     Rejection sampling accepts an hour in proportion to its units, so one draw over all
     units gives the same distribution without a loop: the draw falls into a class of hours
     of equal weight, then on one hour of the class, which an equi-join on (weight, position)
-    looks up. The table has 24 rows per day of a term of checked length.
+    looks up. The table has 24 rows per day of the term.
     """
-    if not 0 < days <= MAX_SLOT_DAYS:
-        raise ValueError(f"days must be within 1..{MAX_SLOT_DAYS}")
+    if days < 1:
+        raise ValueError("a term has at least one day")
     classes: dict[int, list[int]] = {}
     for slot in range(days * 24):
         classes.setdefault(slot_units(start, *divmod(slot, 24)), []).append(slot)
@@ -174,7 +173,7 @@ def weighted_ts(
         df.withColumns({"_unit": D.below(u_slot, total), "_second": D.below(u_second, 3600)})
         .withColumns({"_weight": weight, "_base": base})
         .withColumn("_member", F.call_function("div", unit - F.col("_base"), F.col("_weight")))
-        .join(F.broadcast(slots), ["_weight", "_member"], "left")
+        .join(slots, ["_weight", "_member"], "left")
     )
     second = F.col("_slot") * 3600 + F.col("_second")
     return placed.withColumn("event_ts", ts.at_second(start, second)).drop(

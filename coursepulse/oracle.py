@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from coursepulse import schema as S
+from coursepulse import fixtures as X, schema as S
 
 SEED = 7
 
@@ -108,7 +108,7 @@ def _chapter(chapters: str, week: str, u: str) -> str:
         f"greatest(1, least({chapters}, least({chapters}, ({week} * {chapters}) // {S.TERM_WEEKS})"
         f" + {_below(u, 5)} - 2))"
     )
-    return f"'CH_' || lpad(CAST({number} AS VARCHAR), 3, '0')"
+    return f"'CH_' || {_zero_padded(number, 3)}"
 
 
 def _octet(u: str) -> str:
@@ -125,7 +125,7 @@ def _private_ip(u1: str, u2: str) -> str:
 
 def _zero_padded(number: str, width: int) -> str:
     text = f"CAST({number} AS VARCHAR)"
-    return f"CASE WHEN {number} < {10**width} THEN lpad({text}, {width}, '0') ELSE {text} END"
+    return f"(CASE WHEN {number} < {10**width} THEN lpad({text}, {width}, '0') ELSE {text} END)"
 
 
 def _text(ts: str) -> str:
@@ -144,10 +144,10 @@ events_k AS (
   FROM events
 ),
 behavior AS (
-  SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') AS record_id,
-         'STU_' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS student_id,
+  SELECT {_zero_padded('event_id', 12)} AS record_id,
+         'STU_' || {_zero_padded('user_id', 8)} AS student_id,
          c_name AS student_name,
-         'COURSE_' || lpad(CAST(k % 8 + 1 AS VARCHAR), 3, '0') AS course_id,
+         'COURSE_' || {_zero_padded('(k % 8 + 1)', 3)} AS course_id,
          p_name AS course_name,
          behavior_type,
          cents * 36 // 1000 AS duration,
@@ -155,7 +155,7 @@ behavior AS (
          '192.168.' || CAST(user_id % 254 + 1 AS VARCHAR) || '.'
            || CAST(event_id % 254 + 1 AS VARCHAR) AS ip_address,
          CASE event_id % 3 WHEN 0 THEN 'PC' WHEN 1 THEN 'Mobile' ELSE 'Tablet' END AS device_type,
-         'CH_' || lpad(CAST(k % 12 + 1 AS VARCHAR), 3, '0') AS chapter_id,
+         'CH_' || {_zero_padded('(k % 12 + 1)', 3)} AS chapter_id,
          CASE WHEN behavior_type IN ('quiz_complete', 'homework_submit')
               THEN (cents % 1001) / CAST(10 AS DOUBLE) END AS score
   FROM events_k
@@ -173,7 +173,9 @@ damaged AS (
          CASE WHEN CAST(record_id AS BIGINT) % 103 = 0 THEN NULL ELSE behavior_type END
            AS behavior_type,
          duration,
-         CASE WHEN CAST(record_id AS BIGINT) % 113 = 0 THEN 'garbage' ELSE "timestamp" END
+         CASE WHEN CAST(record_id AS BIGINT) % 113 = 0
+              THEN [{_quoted(X.BROKEN_TIMES)}][CAST(record_id AS BIGINT) // 113 % {len(X.BROKEN_TIMES)} + 1]
+              ELSE "timestamp" END
            AS "timestamp",
          CASE WHEN CAST(record_id AS BIGINT) % 109 = 0 THEN ip_address || '.1' ELSE ip_address END
            AS ip_address,
@@ -193,7 +195,10 @@ VALID = (
     "AND behavior_type IS NOT NULL AND behavior_type <> '' AND duration > 0"
 )
 KEY = 'student_id, course_id, "timestamp", behavior_type'
-PARSED = "try_strptime(\"timestamp\", '%Y-%m-%d %H:%M:%S')"
+PARSED = (
+    f"CASE WHEN regexp_full_match(\"timestamp\", '{S.TIMESTAMP_PATTERN}') "
+    "THEN try_strptime(\"timestamp\", '%Y-%m-%d %H:%M:%S') END"
+)
 LEVELS = {"error": "'ERROR'", "signup": "'WARN'", "click": "'DEBUG'"}
 OPLOG = f"""
 oplog AS (
@@ -375,9 +380,9 @@ WITH drawn AS (
          {_u(r, 7)} AS u7,
          {_text(f"TIMESTAMP '2025-09-01' + to_seconds({offset})")} AS "timestamp"
   FROM events)
-SELECT record_id, 'STU_' || lpad(CAST(student_idx AS VARCHAR), 8, '0') AS student_id,
+SELECT record_id, 'STU_' || {_zero_padded('student_idx', 8)} AS student_id,
        c_name AS student_name,
-       'COURSE_' || lpad(CAST(course_idx + 1 AS VARCHAR), 3, '0') AS course_id,
+       'COURSE_' || {_zero_padded('(course_idx + 1)', 3)} AS course_id,
        p_name AS course_name, behavior_type, {duration} AS duration, "timestamp"
 FROM drawn LEFT JOIN customer ON c_custkey = student_idx
 LEFT JOIN part ON p_partkey = course_idx"""
@@ -388,11 +393,11 @@ def _synth_b11() -> str:
     duration = _uniform_by_behavior("behavior_type", "u7", S.LOG_DURATIONS, extra=1)
     return _with(
         f"""
-SELECT 'STU_' || lpad(CAST(student_idx AS VARCHAR), 8, '0') AS student_id,
+SELECT 'STU_' || {_zero_padded('student_idx', 8)} AS student_id,
        c_name AS student_name, course_id, course_name, behavior_type, {duration} AS duration,
        {_text("TIMESTAMP '2025-09-01' + to_seconds(second)")} AS "timestamp",
        {_private_ip(_u(r, 8), _u(r, 9))} AS ip_address, device_type,
-       'CH_' || lpad(CAST({_below(_u(r, 10), 'chapters')} + 1 AS VARCHAR), 3, '0') AS chapter_id,
+       'CH_' || {_zero_padded('(' + _below(_u(r, 10), 'chapters') + ' + 1)', 3)} AS chapter_id,
        {_score('behavior_type', _u(r, 11), _u(r, 12), 15)} AS score
 FROM moved LEFT JOIN customer ON c_custkey = student_idx
 LEFT JOIN catalogue ON idx = course_idx""",
@@ -517,9 +522,12 @@ FROM behavior WHERE score IS NOT NULL GROUP BY 1"""
     profile_counts = ", ".join(
         f"count(*) FILTER (WHERE behavior_type = '{c}') AS n_{c}" for c in S.BEHAVIORS
     )
+    other = f"NOT coalesce(behavior_type IN ({_quoted(S.BEHAVIORS)}), false)"
+    profile_counts += f", count(*) FILTER (WHERE {other}) AS n_other"
+    parts = {c: f"behavior_type = '{c}'" for c in S.BEHAVIORS} | {"other": other}
     wide = ", ".join(
-        f"CAST(coalesce(sum(duration) FILTER (WHERE behavior_type = '{c}'), 0) AS BIGINT) AS {c}"
-        for c in S.BEHAVIORS
+        f"CAST(coalesce(sum(duration) FILTER (WHERE {part}), 0) AS BIGINT) AS {c}"
+        for c, part in parts.items()
     )
     rules = {
         "required_fields": " OR ".join(
@@ -584,7 +592,8 @@ FROM behavior WHERE {day} BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"""
             "SELECT student_id, student_name, row_number() OVER (ORDER BY student_id, "
             f"student_name) - 1 AS idx FROM ({numbered_students})"
         ),
-        "batch_frame": _log(f"SELECT {b8_columns} FROM behavior"),
+        "batch_frame": _log(f"SELECT {b8_columns} FROM behavior ORDER BY record_id LIMIT 100"),
+        "conform": _log(f"SELECT {b8_columns} FROM behavior"),
         "sequence_rows": "SELECT row_number() OVER (ORDER BY event_id) - 1 AS row_id FROM events",
         # sinks
         "write_json": whole_log,
@@ -642,12 +651,12 @@ FROM raw"""
             "WHERE student_id = 'STU_00000007'"
         ),
         # joins and set operations
-        "join_students": """
-SELECT event_id, 'STU_' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS student_id,
+        "join_students": f"""
+SELECT event_id, 'STU_' || {_zero_padded('user_id', 8)} AS student_id,
        c_name AS student_name
 FROM events LEFT JOIN customer ON c_custkey = user_id""",
-        "join_courses": """
-SELECT event_id, 'COURSE_' || lpad(CAST(p_partkey + 1 AS VARCHAR), 3, '0') AS course_id,
+        "join_courses": f"""
+SELECT event_id, 'COURSE_' || {_zero_padded('(p_partkey + 1)', 3)} AS course_id,
        p_name AS course_name
 FROM events
 LEFT JOIN (SELECT * FROM part WHERE p_partkey BETWEEN 0 AND 7) ON p_partkey = user_id""",
@@ -693,11 +702,11 @@ FROM raw GROUP BY 1, 2"""
             f"SELECT student_id, CAST(max({day}) AS VARCHAR) AS last_activity FROM raw GROUP BY 1"
         ),
         "course_metrics": _log(course_metrics),
-        "student_profile": _log(
+        "student_profile": _raw(
             f"""
 SELECT student_id, CAST(sum(duration) AS BIGINT) AS total_duration,
        count(DISTINCT course_id) AS course_count, {profile_counts}
-FROM behavior GROUP BY 1"""
+FROM raw GROUP BY 1"""
         ),
         "student_courses": _log("SELECT DISTINCT student_id, course_id FROM behavior"),
         "student_avg_score": _log(avg_score),
@@ -705,8 +714,8 @@ FROM behavior GROUP BY 1"""
             "SELECT student_id, behavior_type, CAST(sum(duration) AS BIGINT) AS duration "
             "FROM behavior GROUP BY 1, 2"
         ),
-        "student_behavior_duration_wide": _log(
-            f"SELECT student_id, {wide} FROM behavior GROUP BY 1"
+        "student_behavior_duration_wide": _raw(
+            f"SELECT student_id, {wide} FROM raw GROUP BY 1"
         ),
         "student_behavior_counts": _log(
             "SELECT student_id, behavior_type, count(*) AS count FROM behavior GROUP BY 1, 2"
@@ -812,6 +821,7 @@ FROM behavior"""
         "running_fact": _log(fact),
         "snapshot_results": _flat(*FLAT_REALTIME),
         "incremental_refresh": _flat(*FLAT_BATCH),
+        "compact": _flat(*FLAT_BATCH),
         # generation
         "synth_b8": _synth_b8(),
         "synth_b11": _synth_b11(),

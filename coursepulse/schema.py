@@ -145,6 +145,9 @@ TRIANGULAR_DURATIONS = {
     "forum_post": (60, 1800, 300),
     "material_download": (10, 300, 60),
 }
+# Seconds of a behaviour that has no range of its own.
+LOG_DURATION_DEFAULT = (60, 600)
+DATASET_DURATION_DEFAULT = (60, 3600)
 TERM_WEEKS = 16
 EXAM_WEEKS = (15, 16)
 # Acceptance weight per hour of day, out of 4.0; hours not listed weigh 1.0.

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from coursepulse import schema as S
 
 PARTITIONS = ["year", "month", "day"]
-MAX_BROADCAST_ROWS = 100_000
 
 
 def parse_records(lines: DataFrame) -> DataFrame:
@@ -38,8 +39,22 @@ def read_json_logs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_logs(spark: SparkSession, path: str, schema: T.StructType = S.B22) -> DataFrame:
-    """CSV files with a header; an empty score is null, a byte-order mark is skipped."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV files with a header; an empty score is null, a byte-order mark is skipped.
+
+    Columns are read by position, so a header in another order is an error. A row that does
+    not fit the schema is kept in ``_corrupt_record``; see ``good_records``, ``quarantine``.
+    """
+    corrupt = T.StructField(S.CORRUPT, T.StringType())
+    rows = (
+        spark.read.schema(T.StructType([*schema.fields, corrupt]))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", S.CORRUPT)
+        .csv(path)
+    )
+    # As in parse_records: the whole row decides, not the columns that a query reads.
+    whole = rows.select(F.explode(F.array(F.struct(*rows.columns))).alias("_row"))
+    return whole.select("_row.*")
 
 
 def read_partitioned_logs(
@@ -47,10 +62,18 @@ def read_partitioned_logs(
 ) -> DataFrame:
     """JSON lines under ``year=/month=/day=``, only the folders from ``start`` to ``end``.
 
-    The condition uses partition columns alone, so other folders are not opened.
+    The condition uses partition columns alone, so other folders are not opened. Without a
+    condition files beside the dated folders are read too, with null dates: partition
+    discovery alone would leave them out.
     """
     folders = [F.col(p).cast("int").alias(p) for p in PARTITIONS]
     lines = spark.read.text(path).select("value", *folders)
+    if start is None and end is None:
+        every = spark.read.option("recursiveFileLookup", True).text(path)
+        undated = every.filter(~F.col("_metadata.file_path").contains(f"/{PARTITIONS[0]}="))
+        lines = lines.unionByName(
+            undated.select("value", *(F.lit(None).cast("int").alias(p) for p in PARTITIONS))
+        )
     day = F.make_date(*PARTITIONS)
     if start is not None:
         lines = lines.filter(day >= F.lit(start).cast("date"))
@@ -62,12 +85,16 @@ def read_partitioned_logs(
 def dim(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     """A dimension held in memory, with a dense ``idx`` in the order given.
 
-    Spark knows no size of such a frame and would shuffle both sides of a join with it, so
-    up to a checked number of rows the frame is marked for broadcast.
+    Made from an Arrow table, the frame has a known size in bytes, by which Spark decides
+    whether to broadcast it.
     """
+    fields = _with_index(schema)
     indexed = [(i, *row) for i, row in enumerate(rows)]
-    df = spark.createDataFrame(indexed, _with_index(schema))
-    return F.broadcast(df) if len(indexed) <= MAX_BROADCAST_ROWS else df
+    arrow = to_arrow_schema(fields)
+    columns = [
+        pa.array([row[k] for row in indexed], kind.type) for k, kind in enumerate(arrow)
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), fields)
 
 
 def _with_index(schema: str | T.StructType) -> T.StructType:
@@ -83,15 +110,17 @@ def batch_frame(
 
 
 def conform(df: DataFrame, schema: T.StructType = S.B8) -> DataFrame:
-    """The same check for a distributed frame: cast to ``schema``, fail on missing fields."""
-    columns = []
+    """The same check for a distributed frame: cast to ``schema``, fail on missing fields.
+
+    The check is a filter over all mandatory fields, so it holds whatever columns are read.
+    """
+    cast = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+    checked = F.lit(True)
     for field in schema:
-        value = F.col(field.name).cast(field.dataType)
         if not field.nullable:
-            missing = F.raise_error(F.lit(f"{field.name} must not be null"))
-            value = F.when(value.isNull(), missing.cast(field.dataType)).otherwise(value)
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
+            missing = F.raise_error(F.lit(f"{field.name} must not be null")).cast("boolean")
+            checked = F.when(F.col(field.name).isNull(), missing).otherwise(checked)
+    return cast.filter(checked)
 
 
 def good_records(logs: DataFrame) -> DataFrame:

@@ -41,14 +41,19 @@ def with_partition_columns(df: DataFrame, day: Column) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, date_col: str = "timestamp", fmt: str = "json", mode: str = "append"
+    df: DataFrame,
+    path: str,
+    date_col: str = "timestamp",
+    fmt: str = "json",
+    mode: str = "append",
+    day: Column | None = None,
 ) -> None:
-    """Land rows under the ``year=/month=/day=`` of their event time.
+    """Land rows under the ``year=/month=/day=`` of their event time, or of ``day``.
 
     Rebalancing brings the rows of a day together, which avoids a file per task and day,
     and lets Spark split a day that is too large for one task.
     """
-    dated = with_partition_columns(df, event_date(F.col(date_col)))
+    dated = with_partition_columns(df, event_date(F.col(date_col)) if day is None else day)
     dated.hint("rebalance", "year", "month", "day").write.mode(mode).partitionBy(
         "year", "month", "day"
     ).format(fmt).save(path)

@@ -10,8 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from coursepulse import schema as S
 from coursepulse.functions.timestamps import event_date, event_time
-from coursepulse.sources.readers import parse_records
-from coursepulse.sources.writers import with_partition_columns, write_json
+from coursepulse.sources.readers import good_records, parse_records, quarantine
+from coursepulse.sources.writers import write_json, write_partitioned
 
 ROLL_INTERVAL = "3600 seconds"
 
@@ -44,26 +44,28 @@ def stream_lines(
     return reader.text(path)
 
 
-def split_lines(lines: DataFrame, max_len: int | None = S.MAX_LINE_LENGTH) -> DataFrame:
-    """Undecodable bytes dropped; a line over ``max_len`` characters becomes several.
+def split_lines(lines: DataFrame, max_len: int | None = None) -> DataFrame:
+    """Undecodable bytes dropped; with ``max_len`` a longer line becomes several.
 
-    The pieces together are the whole line.
+    The pieces together are the whole line. A line that is a JSON value stays whole.
     """
     value = F.col("value")
     mended = F.replace(F.make_valid_utf8(value), F.lit("\ufffd"), F.lit(""))
     valid = F.when(F.is_valid_utf8(value), value).otherwise(mended)
     if max_len is None:
         return lines.withColumn("value", valid)
-    starts = F.sequence(F.lit(1), F.greatest(F.length("value"), F.lit(1)), F.lit(max_len))
+    whole = F.try_parse_json("value").isNotNull()
+    size = F.when(whole, F.greatest(F.length("value"), F.lit(max_len))).otherwise(max_len)
+    starts = F.sequence(F.lit(1), F.greatest(F.length("value"), F.lit(1)), size)
     return (
         lines.withColumn("value", valid)
         .withColumn("_start", F.explode(starts))
-        .withColumn("value", F.substr("value", F.col("_start"), F.lit(max_len)))
+        .withColumn("value", F.substr("value", F.col("_start"), size))
         .drop("_start")
     )
 
 
-def parse_lines(lines: DataFrame, max_len: int | None = S.MAX_LINE_LENGTH) -> DataFrame:
+def parse_lines(lines: DataFrame, max_len: int | None = None) -> DataFrame:
     """Records of JSON lines; what is not a record stays in ``_corrupt_record``."""
     return parse_records(split_lines(lines, max_len))
 
@@ -83,6 +85,45 @@ def with_ingest_meta(df: DataFrame, tz: str = S.INGEST_TIME_ZONE) -> DataFrame:
     )
 
 
+def write_quarantine(batch: DataFrame, batch_id: int, path: str) -> None:
+    """Store the lines of one micro-batch that are no records, replacing an earlier attempt."""
+    (
+        quarantine(batch)
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .json(path)
+    )
+
+
+def _publish(spark: SparkSession, staged: str, path: str, batch_id: int) -> None:
+    """Move a batch's files to their dated folders under names that a retry meets again.
+
+    The names carry the batch; files of an earlier attempt go first. A batch makes few files,
+    which bounds the moves.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(staged), hadoop.Path(path)
+    fs = source.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    root = fs.makeQualified(source).toString() + "/"
+    found, files = fs.listFiles(source, True), []
+    while found.hasNext():
+        name = found.next().getPath().toString()
+        if name.rsplit("/", 1)[1].startswith("part-"):
+            files.append(name[len(root) :])
+    for old in fs.globStatus(hadoop.Path(target, f"year=*/month=*/day=*/batch-{batch_id}-*")) or []:
+        fs.delete(old.getPath(), False)
+    for number, name in enumerate(sorted(files)):
+        folder, _, part = name.rpartition("/")
+        ending = part[part.index(".") :]
+        day = hadoop.Path(target, folder)
+        fs.mkdirs(day)
+        fs.rename(
+            hadoop.Path(source, name), hadoop.Path(day, f"batch-{batch_id}-{number:05d}{ending}")
+        )
+
+
 def land_stream(
     df: DataFrame,
     path: str,
@@ -90,27 +131,49 @@ def land_stream(
     by: str = "ingest",
     fmt: str = "json",
     interval: str | None = None,
+    quarantine_path: str | None = None,
 ) -> StreamingQuery:
     """Land a stream under ``year=/month=/day=``.
 
     ``by="ingest"`` files rows under the date of ``ingest_time``, ``by="event"`` under that
     of their ``timestamp``. ``interval`` is the roll interval of a permanent stream, such as
     ``ROLL_INTERVAL``; without one, everything available is landed and the query ends.
+
+    Lines that are no records go to ``quarantine_path`` (by default ``_quarantine`` below
+    ``path``, which readers of ``path`` pass over). Each micro-batch is written by
+    ``write_partitioned``, whose rebalancing makes few files of a bounded size
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), into a staging folder, and its files
+    are moved under names of their own: a retried batch replaces them, and the folder remains
+    an ordinary one that batch jobs may append to.
     """
-    if by == "ingest":
-        day = F.col("ingest_time").cast("date")
-    elif by == "event":
-        day = event_date(F.col("timestamp"))
-    else:
+    aside = f"{path.rstrip('/')}/_quarantine" if quarantine_path is None else quarantine_path
+    staging = f"{path.rstrip('/')}/_staging"
+    date_col = {"ingest": "ingest_time", "event": "timestamp"}.get(by)
+    if date_col is None:
         raise ValueError(f"unknown partitioning: {by}")
-    writer = (
-        with_partition_columns(df, day)
-        .writeStream.format(fmt)
-        .partitionBy("year", "month", "day")
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # Parsed once for both outcomes.
+        held = batch.persist()
+        try:
+            records = held
+            if S.CORRUPT in held.columns:
+                write_quarantine(held, batch_id, aside)
+                records = good_records(held)
+            day = F.col(date_col).cast("date") if by == "ingest" else event_date(F.col(date_col))
+            write_partitioned(records, staging, day=day, fmt=fmt, mode="overwrite")
+            _publish(spark, staging, path, batch_id)
+        finally:
+            held.unpersist()
+
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    return (
+        df.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
     )
-    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
-    return writer.trigger(**trigger).start(path)
 
 
 def dedup_stream(stream: DataFrame, delay: str) -> DataFrame:

@@ -16,17 +16,21 @@ from pyspark.sql.streaming import StreamingQuery
 from coursepulse import schema as S
 from coursepulse.plans.results import REALTIME, six_results
 from coursepulse.plans.rollup import ROLLUP_SCHEMA, merge, rollup
-from coursepulse.sources.readers import good_records, quarantine
-from coursepulse.streaming.ingest import stream_logs
+from coursepulse.sources.readers import good_records
+from coursepulse.streaming.ingest import stream_logs, write_quarantine
 
 FACT_SCHEMA = T.StructType([*ROLLUP_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
-    """Store the rollup of one micro-batch, replacing an earlier attempt."""
+    """Store the rollup of one micro-batch, replacing an earlier attempt.
+
+    Rebalanced by grain, a small batch makes a file for each grain.
+    """
     (
         rollup(batch)
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .hint("rebalance", "grain")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id", "grain")
@@ -34,18 +38,6 @@ def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
     )
 
 
-def write_quarantine(batch: DataFrame, batch_id: int, path: str) -> None:
-    """Store the lines of one micro-batch that are no records, replacing an earlier attempt."""
-    (
-        quarantine(batch)
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .json(path)
-    )
-
-
 def running_fact(
     stream: DataFrame,
     path: str,
@@ -57,16 +49,22 @@ def running_fact(
     """Keep the fact at ``path`` up to date with a stream of log records.
 
     ``prepare`` is applied to each micro-batch, for instance to clean it. Lines that are no
-    records are not counted; with ``quarantine_path`` they are stored there.
+    records are not counted but stored at ``quarantine_path``, by default ``_quarantine`` below
+    ``path``, which readers of ``path`` pass over.
     """
+    aside = f"{path.rstrip('/')}/_quarantine" if quarantine_path is None else quarantine_path
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        records = batch
-        if S.CORRUPT in batch.columns:
-            if quarantine_path is not None:
-                write_quarantine(batch, batch_id, quarantine_path)
-            records = good_records(batch)
-        write_batch(prepare(records) if prepare else records, batch_id, path)
+        # Parsed once for both outcomes.
+        held = batch.persist()
+        try:
+            records = held
+            if S.CORRUPT in held.columns:
+                write_quarantine(held, batch_id, aside)
+                records = good_records(held)
+            write_batch(prepare(records) if prepare else records, batch_id, path)
+        finally:
+            held.unpersist()
 
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return (
@@ -89,8 +87,8 @@ def snapshot(
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], FACT_SCHEMA)
-    if compacted is None:
+        fact = spark.createDataFrame([], FACT_SCHEMA)
+    if compacted is None or upto is None:
         return fact
     old = spark.read.schema(FACT_SCHEMA).parquet(compacted)
     return old.filter(F.col("batch_id") == upto).unionByName(
@@ -123,11 +121,34 @@ def compact(
     return upto
 
 
+def drop_merged(spark: SparkSession, path: str, upto: int | None) -> None:
+    """Remove the batches that ``compact`` has merged, up to its result.
+
+    To be called once the caller has stored that result; a refresh then lists and reads the
+    merged partition and the batches since.
+    """
+    if upto is None:
+        return
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for entry in fs.globStatus(hadoop.Path(folder, "batch_id=*")) or []:
+        batch = entry.getPath()
+        if int(batch.getName().partition("=")[2]) <= upto:
+            fs.delete(batch, True)
+
+
 def snapshot_results(
-    spark: SparkSession, path: str, as_of: str, preset: str = REALTIME, **options
+    spark: SparkSession,
+    path: str,
+    as_of: str,
+    preset: str = REALTIME,
+    compacted: str | None = None,
+    upto: int | None = None,
+    **options,
 ) -> dict[str, DataFrame]:
-    """All six results as of now."""
-    return six_results(snapshot(spark, path), as_of, preset, **options)
+    """All six results as of now; ``compacted`` and ``upto`` as in ``snapshot``."""
+    return six_results(snapshot(spark, path, compacted, upto), as_of, preset, **options)
 
 
 def incremental_refresh(
@@ -139,9 +160,14 @@ def incremental_refresh(
     preset: str = REALTIME,
     max_files: int | None = None,
     quarantine_path: str | None = None,
+    compacted: str | None = None,
+    upto: int | None = None,
     **options,
 ) -> dict[str, DataFrame]:
-    """Take in the files that are new since the last call, then give all six results."""
+    """Take in the files that are new since the last call, then give all six results.
+
+    Batches up to ``upto`` are read from ``compacted``; see ``compact`` and ``drop_merged``.
+    """
     stream = stream_logs(spark, landing, max_files=max_files)
     running_fact(stream, path, checkpoint, quarantine_path=quarantine_path).awaitTermination()
-    return snapshot_results(spark, path, as_of, preset, **options)
+    return snapshot_results(spark, path, as_of, preset, compacted, upto, **options)

@@ -2,8 +2,9 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
-from coursepulse import schema as S
+from coursepulse import fixtures, schema as S
 from coursepulse.functions import draws as D, labels, rounding, timestamps as ts
+from coursepulse.operators import quality
 
 
 def half_up(x: Decimal, digits: int) -> float:
@@ -100,3 +101,33 @@ def test_weights_and_shapes(spark):
     ).first()
     assert abs(mean - 74.5) < 1 and abs(sd - 14.3) < 1 and lo >= 0 and hi <= 100
     assert rows.filter(D.score(F.lit("forum_post"), u, u).isNotNull()).isEmpty()
+
+
+def test_ids_beyond_their_width_stay_apart(spark):
+    users = spark.createDataFrame([(7,), (10_000_000,), (100_000_000,), (100_000_007,)], "u long")
+    ids = [r[0] for r in users.select(fixtures.student_id(F.col("u"))).collect()]
+    assert ids == ["STU_00000007", "STU_10000000", "STU_100000000", "STU_100000007"]
+
+
+def test_only_whole_timestamps_are_read(spark):
+    texts = [*fixtures.BROKEN_TIMES, "2024-01-10 08:00:00\n", "2024-01-10 08:00:00", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    read = [r[0] for r in df.select(ts.event_time(F.col("t"))).collect()]
+    assert [x is not None for x in read] == [False] * 5 + [True, False]
+
+
+def test_unknown_behaviours_have_their_default_range(spark):
+    df = spark.range(200).withColumn("u", D.draw(1, F.col("id"), 0))
+    nap = F.lit("nap")
+    for drawn, low, high in (
+        (D.inclusive_duration_for(nap, F.col("u")), 60, 600),
+        (D.triangular_duration_for(nap, F.col("u")), 60, 3600),
+    ):
+        values = [r[0] for r in df.select(drawn).collect()]
+        assert low <= min(values) and max(values) <= high and len(set(values)) > 100
+
+
+def test_durations_that_are_no_integers_are_reported(spark):
+    b = spark.createDataFrame([("1.5",), ("sixty",), ("60",), ("0",), (None,)], "duration string")
+    rule = quality.default_rules(b)["duration_positive"]
+    assert [r[0] for r in b.select(rule).collect()] == [True, True, False, True, True]

@@ -41,7 +41,7 @@ def test_parts_add_up(log):
     parts = defaultdict(int)
     for r in metrics.student_behavior_duration(b).collect():
         parts[r.student_id] += r.duration
-    wide = {r.student_id: sum(r[c] for c in S.BEHAVIORS)
+    wide = {r.student_id: sum(r[c] for c in [*S.BEHAVIORS, "other"])
             for r in metrics.student_behavior_duration(b, wide=True).collect()}
     totals = {k[0]: sum(r["duration"] for r in v) for k, v in by(rows, "student_id").items()}
     assert parts == totals and wide == totals
@@ -51,6 +51,15 @@ def test_parts_add_up(log):
     assert counts == {k[0]: len(v) for k, v in by(rows, "student_id").items()}
 
 
+def test_other_behaviours_stay_in_the_sums(spark):
+    b = frame(spark, [record(i, behavior=x, duration=100) for i, x in
+                      enumerate(["video_watch", "nap", None])])
+    wide = metrics.student_behavior_duration(b, wide=True).first()
+    assert (wide.video_watch, wide.other) == (100, 200)
+    profile = metrics.student_profile(b).first()
+    assert (profile.total_duration, profile.n_video_watch, profile.n_other) == (300, 1, 2)
+
+
 def test_profile_and_course_sets(log):
     rows, b = log
     courses = by([r.asDict() for r in metrics.student_courses(b).collect()], "student_id")

@@ -1,3 +1,5 @@
+import pytest
+
 from coursepulse.operators import oplog
 from coursepulse.sources import writers
 from tests.conftest import frame, random_log
@@ -48,5 +50,9 @@ def test_observed_job(spark, tmp_path):
     def fail(df):
         raise RuntimeError("disk gone")
 
-    report = oplog.observe_job(b, "land", fail)
+    with pytest.raises(oplog.JobFailed, match="disk gone") as raised:
+        oplog.observe_job(b, "land", fail)
+    report = raised.value.report
     assert (report.records, report.status, report.error) == (0, "failed", "disk gone")
+    with pytest.raises(ValueError, match="unknown component"):
+        oplog.search_oplog(oplog.parse_oplog(b.selectExpr("student_id AS value")), "moon")

@@ -140,15 +140,25 @@ def test_landing_in_dated_folders(spark, tmp_path, by):
     rows = random_log(40, 13)
     land(spark, rows, landing, 2)
     stream = ingest.stream_logs(spark, landing, max_files=1)
-    ingest.land_stream(stream.drop(S.CORRUPT), out, ck, by).awaitTermination()
+    with open(f"{landing}/broken.json", "w") as broken:
+        broken.write("this is no record\n")
+    ingest.land_stream(stream, out, ck, by).awaitTermination()
     logs = readers.read_partitioned_logs(spark, out)
-    assert logs.count() == 40
+    assert logs.count() == 40 and not os.path.exists(f"{out}/_spark_metadata")
+    aside = spark.read.json(f"{out}/_quarantine")
+    assert [r.line for r in aside.collect()] == ["this is no record"]
+    # A retried batch replaces its files; a batch job may append.
+    files = sorted(glob.glob(f"{out}/year=*/**/*.json", recursive=True))
+    assert files and all("batch-" in f for f in files)
+    writers.write_partitioned(frame(spark, random_log(10, 14)), str(tmp_path / "copy"))
+    writers.write_partitioned(frame(spark, random_log(10, 14)), out)
+    assert readers.read_partitioned_logs(spark, out).count() == 50
     days = {(r.year, r.month, r.day) for r in logs.select("year", "month", "day").collect()}
     if by == "event":
         assert days == {(2024, 1, int(r["timestamp"][8:10])) for r in rows}
     else:
         assert len(days) <= 2
-    text = spark.read.option("recursiveFileLookup", True).text(out).first()[0]
+    text = open(files[0], encoding="utf-8").readline()
     assert {"ingest_time", "filename", "basename"} <= set(json.loads(text))
     with pytest.raises(ValueError):
         ingest.land_stream(stream, out, ck, "moon")
@@ -175,22 +185,24 @@ def test_ingest_time_is_the_wall_clock_of_its_zone(spark, tmp_path):
 
 def test_lines_that_are_no_records(spark, tmp_path):
     good = json.dumps(record(1), ensure_ascii=False).encode()
-    long = json.dumps(record(2, name="长" * 500), ensure_ascii=False)
+    record_2 = json.dumps(record(2, name="长" * 11_000), ensure_ascii=False)
+    long = "noise " + "长" * 1000
     broken = good.replace(b'"Ann"', b'"An\xff\xfen"')
-    (tmp_path / "a.log").write_bytes(b"\n".join([good, broken, b"noise", long.encode()]))
+    (tmp_path / "a.log").write_bytes(b"\n".join([good, broken, b"noise", long.encode(), record_2.encode()]))
     lines = spark.read.text(str(tmp_path))
     parsed = ingest.parse_lines(lines, max_len=400)
     read = readers.good_records(parsed).collect()
     assert sorted((r.record_id, r.student_name) for r in read) == [
-        ("r000001", "Ann"), ("r000001", "Ann")
+        ("r000001", "Ann"), ("r000001", "Ann"), ("r000002", "长" * 11_000)
     ]
     aside = [r[0] for r in readers.quarantine(parsed).collect()]
     assert "noise" in aside
     pieces = [p for p in aside if p != "noise"]
     assert all(len(p) <= 400 for p in pieces)
     assert sum(len(p) for p in pieces) == len(long)
-    whole = ingest.parse_lines(lines, max_len=10240)
+    whole = ingest.parse_lines(lines)
     assert readers.good_records(whole).filter("record_id = 'r000002'").count() == 1
+    assert {r[0] for r in readers.quarantine(whole).collect()} == {"noise", long}
 
 
 def test_append_batches(spark, tmp_path):
