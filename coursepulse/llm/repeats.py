@@ -328,6 +328,8 @@ def find_earlier(packed: DataFrame, shared: DataFrame, bits: int, buckets: int)
             chosen = c.shared(_marks(marks, "marks"), bits)
             hot = _marks(marks, "hot")
             known, least, parts = c.pieces(chosen, hot, bits)
+            if not known:
+                continue
             where = np.empty(len(known), np.uint64)
             spread = np.isin(short(c.hash[chosen], bits), hot)
             # A piece goes by its anchor; a window of a hot anchor by its own hash.
