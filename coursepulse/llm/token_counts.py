@@ -13,7 +13,8 @@ normaliser does not look across them; ``count_tokens`` takes no others.
 
 Null texts count as empty (0 bytes, 0 tokens). Strings of special tokens inside a text are one
 token each, as the library does by default. Rows are independent: ties and repeated rows keep
-their number, further columns are kept by ``count_tokens`` and an empty table stays empty.
+their number, further columns are kept by ``count_tokens`` (those of an
+output's name are replaced) and an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -89,6 +90,7 @@ def count_tokens(
 
     ``vocabulary`` is the tokenizer's file, read by the driver and sent to the tasks.
     """
+    docs = docs.drop("n_bytes", "n_tokens", "over_limit")
     with open(vocabulary, encoding="utf-8") as source:
         definition = source.read()
     shared = docs.sparkSession.sparkContext.broadcast(definition)

@@ -11,6 +11,7 @@ that takes no part in training.
 Null and empty texts have no windows and get the score of the bias alone. Labels that are null
 or contradict each other (repeated ids) count as toxic if any says so; null ids are ignored.
 Without any label every score is 0.5 and nothing is rejected. Long texts are scored whole.
+Repeated rows keep their number; further columns are kept, those of an output's name replaced.
 """
 
 from __future__ import annotations
@@ -282,6 +283,7 @@ def _score_rows(model: Model, rows: np.ndarray) -> float:
 
 def score(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` with score, threshold (of the row's language) and rejected."""
+    docs = docs.drop("score", "threshold", "rejected")
     shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     names = docs.columns
     at = names.index(text)
