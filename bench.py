@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from coursepulse import catalog, fixtures
 from coursepulse.plans.results import six_results
 from coursepulse.plans.rollup import stored_rollup
-from coursepulse.session import local_session, scratch_path
+from coursepulse.session import local_session, scratch_path, scratch_scope
 from coursepulse.sources import readers, writers
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -42,8 +42,7 @@ QUERIES = [
     "write_partitioned",
     "incremental_refresh",
     "synth_b8",
-    "synth_b22",
-    "weighted_ts",
+    "compact",
     "parse_oplog",
 ]
 
@@ -78,7 +77,8 @@ def main() -> None:
         "six_rollup": best(lambda: all_results(stored_rollup)),
     }
     for name in QUERIES:
-        queries[name] = best(lambda: run(catalog.QUERIES[name](spark, SF_DIR)))
+        with scratch_scope(spark):
+            queries[name] = best(lambda: run(catalog.QUERIES[name](spark, SF_DIR)))
     print(
         json.dumps(
             {

@@ -39,8 +39,3 @@ def mean_of_tenths(total_tenths: Column, n: Column) -> Column:
         "div", F.lit(2).cast("bigint") * total_tenths + den, F.lit(2).cast("bigint") * den
     )
     return units.cast("double") / F.lit(10.0)
-
-
-def one_decimal(x: Column) -> Column:
-    """A non-negative double rounded HALF_UP to one decimal."""
-    return F.floor(x * F.lit(10.0) + F.lit(0.5)).cast("double") / F.lit(10.0)

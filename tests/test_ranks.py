@@ -1,7 +1,9 @@
+import os
 import random
 
 from pyspark.sql import functions as F
 
+from coursepulse import session
 from coursepulse.plans import ranks
 from tests.conftest import plan_of
 
@@ -35,3 +37,11 @@ def test_top_k(spark):
     top = ranks.ranked_top_k(df, [F.desc("id")], 3)
     assert [tuple(r) for r in top.collect()] == [(99, 1), (98, 2), (97, 3)]
     assert "TakeOrderedAndProject" in plan_of(ranks.top_k(df, [F.desc("id")], 3))
+
+
+def test_a_scope_removes_its_scratch_data(spark):
+    with session.scratch_scope(spark):
+        kept = session.materialize(spark.range(3).toDF("x"), "scope")
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert kept.count() == 3 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
