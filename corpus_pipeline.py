@@ -34,9 +34,12 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays, once."""
+    """Of each group of near-duplicates the document with the smallest id stays, once.
+
+    Groups are those of ``op4``'s contract: three-word shingles, 2 of 64 bits.
+    """
     plain, names = _inner(docs)
-    found = golay_simhash.near_duplicates(plain.select("doc_id", "text"))
+    found = golay_simhash.near_duplicates(plain.select("doc_id", "text"), shingle=3)
     by_id = materialize(
         found.filter("doc_id IS NOT NULL")
         .groupBy("doc_id")

@@ -47,7 +47,7 @@ def test_one_of_each_group_stays(spark, sf, given):
     docs = given.union(given.limit(5)).union(extra)
     kept = by_name("simhash near-dedup")(spark, docs, sf)
     rows = docs.collect()
-    prints = {id(r): fingerprint_by_hand(r.text, 5) for r in rows}
+    prints = {id(r): fingerprint_by_hand(r.text, 3) for r in rows}
     classes = classes_by_hand(list(prints.values()))
     least = {}
     for r in rows:
