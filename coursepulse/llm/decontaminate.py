@@ -19,7 +19,7 @@ documents and further columns are kept; an empty table or benchmark leaves ``lea
 from __future__ import annotations
 
 from collections import Counter
-from itertools import combinations
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +65,11 @@ def similarity(a: Counter, b: Counter) -> float:
     return least / (sum(a.values()) + sum(b.values()) - least)
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in ``known``, which is sorted and not empty."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def near_values(most: int) -> np.ndarray:
     """Changes of a block: all with at most ``most`` bits."""
     return np.array(
@@ -119,8 +124,8 @@ class Index:
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """Word numbers, 0 for words of no item."""
-        get = self.vocabulary.get
-        return np.fromiter((get(w, 0) for w in words), dtype=np.uint64, count=len(words))
+        found = map(self.vocabulary.get, words, repeat(0))
+        return np.fromiter(found, dtype=np.uint64, count=len(words))
 
     @staticmethod
     def code(numbers: np.ndarray, size: int) -> np.ndarray:
@@ -165,7 +170,7 @@ class Index:
         for span, every in self.all_codes.items():
             codes = self.code(numbers, span)
             places = np.flatnonzero(codes)
-            places = places[np.isin(codes[places], every)]
+            places = places[among(codes[places], every)]
             by_span[span] = (places, codes[places])
         if not any(len(places) for places, _ in by_span.values()):
             return []
@@ -177,7 +182,7 @@ class Index:
             places, codes = by_span[span]
             if not len(places):
                 continue
-            hits = places[np.isin(codes, self.codes[size])]
+            hits = places[among(codes, self.codes[size])]
             if not len(hits):
                 continue
             # Starts of windows of this size that hold a hit.
