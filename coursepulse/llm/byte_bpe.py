@@ -1,28 +1,36 @@
-"""Byte-level BPE: encoding and decoding by folds over the bytes of distinct words.
+"""Byte-level BPE: encoding by ranked merges over the bytes of distinct words, and decoding.
 
-``encode`` counts the distinct words of the whole corpus, folds the ranked merges over the
-bytes of the ``KNOWN_WORDS`` most frequent ones once, and looks their ids up while it walks
-through the documents; every other word is folded where it stands. Which words are looked up
-changes the time, never the ids. ``decode`` concatenates the bytes of the ids' pieces.
+``encode`` takes documents in blocks, finds their words by the split pattern, and folds the
+ranked merges over the byte arrays of the words that are new to the task: all words of one
+length at once, in each step every word merges its leftmost adjacent pair of lowest rank. A
+document's ids are those of its words in order. ``decode`` concatenates the binary pieces of
+the ids with a higher-order function. (The merges were first folded by higher-order functions
+too; the README has the figures that spoke against it.)
 
-Null texts count as empty and have no ids. Texts of any length are encoded whole; a row is
-encoded on its own, so ties, repeated rows and further columns (kept) play no part. An empty
-table gives an empty result.
+Null texts count as empty and have no ids. Texts and words of any length are encoded whole; a
+row is encoded on its own, so ties and repeated rows keep their number and further columns are
+kept, but for one of the output's name. An empty table gives an empty result. Words' ids are held in a table
+that starts afresh beyond ``TABLE_WORDS``, which costs time, not results.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from coursepulse.llm import lookup
-from coursepulse.session import materialize
 
-# Words that are folded once for the corpus; bounds the constant table, not the result.
-KNOWN_WORDS = 1 << 17
+BLOCK_CHARS = 2 << 20
+TABLE_WORDS = 1 << 19
+LONG_WORD = 32  # bytes; longer words are merged one by one
 NO_RANK = (1 << 31) - 1
+# Fixed value: Unicode white space, which the rank files' libraries mean by \s.
+WHITE_SPACE = r"\t-\r \x85\xa0  -     　"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -31,99 +39,170 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
 
 
-def _byte_text(piece: bytes) -> str:
-    return piece.decode("latin-1")
+def unicode_blanks(pattern: str) -> str:
+    r"""The pattern with \s and \S spelt out.
 
+    >>> unicode_blanks(r"\s+") == "[" + WHITE_SPACE + "]+"
+    True
+    """
+    out, inside, i = [], False, 0
+    while i < len(pattern):
+        two = pattern[i : i + 2]
+        if two == r"\s":
+            out.append(WHITE_SPACE if inside else f"[{WHITE_SPACE}]")
+        elif two == r"\S":
+            if inside:
+                raise ValueError(r"\S inside a class")
+            out.append(f"[^{WHITE_SPACE}]")
+        else:
+            if two[0] in "[]":
+                inside = two[0] == "["
+            out.append(two if two[0] == "\\" else two[0])
+            i += len(out[-1])
+            continue
+        i += 2
+    return "".join(out)
 
-def words(text: Column, pattern: str) -> Column:
-    """The matches of the split pattern, Unicode classes as in the rank files' libraries."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
 
+class Merges:
+    """Ids of words by ranked merges, from the literal rank map."""
 
-def bound(value: Column, body) -> Column:
-    """``body`` over ``value``, which is evaluated once."""
-    return F.transform(F.array(value), body)[0]
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.ranks = ranks
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        pairs = sorted(
+            (ranks[piece[:cut]] << 32 | ranks[piece[cut:]], rank)
+            for piece, rank in ranks.items()
+            for cut in range(1, len(piece))
+            if piece[:cut] in ranks and piece[cut:] in ranks
+        )
+        self.keys = np.array([k for k, _ in pairs], dtype=np.int64)
+        self.values = np.array([v for _, v in pairs], dtype=np.int64)
+        self.pieces = {rank: piece for piece, rank in ranks.items()}
 
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Id of the pieces joined; NO_RANK where they are no piece."""
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.values[at], NO_RANK)
 
-def fold_word(tables: Column, word: Column) -> Column:
-    """The ids of one word: the leftmost adjacent pair of lowest rank merges until none has one.
+    def same_length(self, words: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of one length as rows, and how many of each row count."""
+        raw = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), length)
+        pieces = self.byte_id[raw]
+        sizes = np.full(len(words), length)
+        active = np.arange(len(words))
+        ranks = self.rank(pieces[:, :-1], pieces[:, 1:])
+        while ranks.shape[1] and len(active):
+            at = ranks.argmin(axis=1)
+            row = np.arange(len(ranks))
+            low = ranks[row, at]
+            going = low < NO_RANK
+            if not going.all():
+                ranks, at, low, active = ranks[going], at[going], low[going], active[going]
+                row = np.arange(len(ranks))
+                if not len(active):
+                    break
+            own = pieces[active]
+            own[row, at] = low
+            columns = np.arange(own.shape[1] - 1)
+            own[:, :-1] = np.where(columns > at[:, None], own[:, 1:], own[:, :-1])
+            own[:, -1] = -1
+            pieces[active] = own
+            sizes[active] -= 1
+            # Ranks move along; those beside the new piece are looked up.
+            columns = np.arange(ranks.shape[1] - 1)
+            ranks[:, :-1] = np.where(columns >= at[:, None], ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = NO_RANK
+            for side in (at - 1, at):
+                fits = (side >= 0) & (side + 1 < sizes[active])
+                r, c = row[fits], side[fits]
+                ranks[r, c] = self.rank(own[r, c], own[r, c + 1])
+        return pieces, sizes
 
-    The state holds the pieces, one character per byte, and the rank of each adjacent pair, so
-    that a merge looks up two ranks only.
-    """
-    rank = lambda a, b: F.coalesce(
-        lookup.find(tables, "rank", F.concat(a, b)), F.lit(NO_RANK)
-    )
-    raw = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-    letters = F.split(raw, "")
-    pairs = lambda p: F.transform(
-        F.slice(p, 1, F.size(p) - 1), lambda x, i: rank(x, p[i + 1])
-    )
-    start = bound(letters, lambda p: F.struct(p.alias("pieces"), pairs(p).alias("ranks")))
-
-    none = F.array().cast("array<int>")
-
-    def merged(p: Column, r: Column, at: Column, new: Column) -> Column:
-        """``at`` counts from 1: pieces at and at + 1 become ``new``."""
-        rest = F.size(p)
-        before = F.slice(p, 1, at - 1)
-        after = F.slice(p, at + 2, rest)
-        left = F.when(at > 1, F.array(rank(F.get(p, at - 2), new))).otherwise(none)
-        right = F.when(at + 1 < rest, F.array(rank(new, F.get(p, at + 1)))).otherwise(none)
-        return F.struct(
-            F.concat(before, F.array(new), after).alias("pieces"),
-            F.concat(
-                F.slice(r, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(r, at + 2, rest)
-            ).alias("ranks"),
+    def single(self, word: bytes) -> list[int]:
+        """The same for one word of any length, with a heap of pairs."""
+        ids = [int(self.byte_id[b]) for b in word]
+        n = len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        of = lambda i: self.ranks.get(
+            self.pieces[ids[i]] + self.pieces[ids[after[i]]], NO_RANK
         )
+        heap = [(of(i), i, ids[i], ids[i + 1]) for i in range(n - 1)]
+        heap = [x for x in heap if x[0] < NO_RANK]
+        heapq.heapify(heap)
+        while heap:
+            rank, i, left, right = heapq.heappop(heap)
+            j = after[i] if ids[i] >= 0 else n
+            if j >= n or ids[i] != left or ids[j] != right:
+                continue  # one of the pieces has been merged meanwhile
+            ids[i], ids[j] = rank, -1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n and (new := of(k)) < NO_RANK:
+                    heapq.heappush(heap, (new, k, ids[k], ids[after[k]]))
+        return [i for i in ids if i >= 0]
 
-    def step(state: Column, _: Column) -> Column:
-        p, r = state["pieces"], state["ranks"]
-        low = F.array_min(r)
-        return F.when(F.coalesce(low, F.lit(NO_RANK)) == NO_RANK, state).otherwise(
-            bound(
-                F.array_position(r, low).cast("int"),
-                lambda at: bound(
-                    F.concat(F.get(p, at - 1), F.get(p, at)), lambda new: merged(p, r, at, new)
-                ),
-            )
-        )
+    def fold(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of distinct words; a word that is a piece is that piece."""
+        out: list[list[int]] = [[]] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            if (whole := self.ranks.get(word)) is not None:
+                out[i] = [whole]
+            elif len(word) > LONG_WORD:
+                out[i] = self.single(word)
+            else:
+                by_length.setdefault(len(word), []).append(i)
+        for length, members in by_length.items():
+            pieces, sizes = self.same_length([words[i] for i in members], length)
+            for i, row, n in zip(members, pieces.tolist(), sizes.tolist(), strict=True):
+                out[i] = row[:n]
+        return out
 
-    pieces = F.aggregate(
-        F.sequence(F.lit(1), F.length(raw)), start, step, lambda s: s["pieces"]
-    )
-    whole = lookup.find(tables, "rank", raw)
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(
-        F.transform(pieces, lambda x: lookup.find(tables, "rank", x))
-    )
 
+class Encoder:
+    """A table of words and their ids, and documents as runs of it."""
 
-def rank_columns(spark: SparkSession, ranks: dict[bytes, int]) -> dict[str, pa.Array]:
-    keys = [_byte_text(piece) for piece in ranks]
-    return lookup.one_row(spark, "rank", keys, list(ranks.values()), pa.int32())
+    def __init__(self, merges: Merges, pattern: str) -> None:
+        import regex
 
+        self.merges = merges
+        self.find = regex.compile(unicode_blanks(pattern)).findall
+        self.clear()
 
-def known_words(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str, limit: int
-) -> list:
-    """The most frequent words of all documents and their ids: at most ``limit`` rows."""
-    spark = docs.sparkSession
-    tables = lookup.constants(spark, rank_columns(spark, ranks))
-    counted = (
-        docs.select(F.explode(words(F.col(text), pattern)).alias("word"))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    top = counted.filter("n > 1").orderBy(F.desc("n"), "word").limit(limit)
-    # Stored, so that the folds run in parallel and the driver reads the bounded result.
-    spread = top.repartition(spark.sparkContext.defaultParallelism, "word")
-    done = materialize(
-        lookup.with_constants(spread, "ids", tables, lambda t: fold_word(t, F.col("word"))).select(
-            "word", F.concat_ws(",", F.col("ids").cast("array<string>")).alias("ids")
-        ),
-        "bpe-words",
-    )
-    return done.collect()
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids = np.empty(0, np.int32)
+        self.starts = np.empty(0, np.int64)
+        self.sizes = np.empty(0, np.int64)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the number of ids of each text."""
+        if len(self.index) > TABLE_WORDS:
+            self.clear()
+        split = [self.find(x) for x in texts]
+        new = list(dict.fromkeys(w for x in split for w in x if w not in self.index))
+        if new:
+            found = self.merges.fold([w.encode() for w in new])
+            sizes = np.array([len(x) for x in found], dtype=np.int64)
+            first = len(self.ids) + np.cumsum(sizes) - sizes
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+            flat = np.fromiter((i for x in found for i in x), np.int32, count=int(sizes.sum()))
+            self.ids = np.concatenate([self.ids, flat])
+            self.starts = np.concatenate([self.starts, first])
+            self.sizes = np.concatenate([self.sizes, sizes])
+        get = self.index.__getitem__
+        counts = np.array([len(x) for x in split], dtype=np.int64)
+        words = np.fromiter((get(w) for x in split for w in x), np.int64, count=int(counts.sum()))
+        sizes = self.sizes[words]
+        ends = np.cumsum(sizes)
+        within = np.arange(int(sizes.sum())) - np.repeat(ends - sizes, sizes)
+        ids = self.ids[np.repeat(self.starts[words], sizes) + within]
+        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return ids, np.diff(upto)
 
 
 def encode(
@@ -132,33 +211,38 @@ def encode(
     pattern: str,
     text: str = "text",
     out: str = "token_ids",
-    known: int = KNOWN_WORDS,
 ) -> DataFrame:
     """``docs`` with the array ``out`` of token ids of the whole text."""
-    spark = docs.sparkSession
-    rows = known_words(docs, ranks, pattern, text, known)
-    tables = lookup.constants(
-        spark,
-        rank_columns(spark, ranks)
-        | lookup.one_row(
-            spark,
-            "word",
-            [r["word"] for r in rows],
-            [[int(i) for i in r["ids"].split(",")] for r in rows],
-            pa.list_(pa.int32()),
-        ),
-    )
-    return lookup.with_constants(
-        docs,
-        out,
-        tables,
-        lambda t: F.flatten(
-            F.transform(
-                words(F.col(text), pattern),
-                lambda w: F.coalesce(lookup.find(t, "word", w), fold_word(t, w)),
-            )
-        ),
+    docs = docs.drop(out)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Merges(ranks)))
+    names = docs.columns
+    at = names.index(text)
+
+    def encoded(batches):
+        encoder = Encoder(cloudpickle.loads(shared.value), pattern)
+        for batch in batches:
+            texts = [x or "" for x in batch.column(at).to_pylist()]
+            first = 0
+            while first < len(texts):
+                last, size = first, 0
+                while last < len(texts) and size < BLOCK_CHARS:
+                    size += len(texts[last])
+                    last += 1
+                ids, sizes = encoder.encode(texts[first:last])
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                part = batch.slice(first, last - first)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))],
+                    names=[*(f"c{i}" for i in range(len(names))), "ids"],
+                )
+                first = last
+
+    inner = T.StructType(
+        [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
+        + [T.StructField("ids", T.ArrayType(T.IntegerType()))]
     )
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    return plain.mapInArrow(encoded, inner).toDF(*names, out)
 
 
 def decode(

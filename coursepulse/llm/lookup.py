@@ -1,65 +1,12 @@
-"""Constant hash tables that higher-order functions read in constant time.
-
-A map literal is searched entry by entry. Here the driver places bounded key sets in a
-two-choice (cuckoo) table; the table is one row, read by a scalar subquery, and a look-up is
-one hash and one or two array accesses.
-"""
+"""A row of constant tables that higher-order functions read by position."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SPARK_SEED = 42
-MAX_KICKS = 500
-
-
-def _slots(key: str, mask: int) -> tuple[int, int]:
-    h = xxhash.xxh64_intdigest(key.encode(), SPARK_SEED)
-    return h & mask, (h >> 32) & mask
-
-
-def place(keys: list[str]) -> list[int]:
-    """For each slot the index of its key, or -1. Every key sits in one of its two slots.
-
-    >>> sorted(i for i in place(["a", "b"]) if i >= 0)
-    [0, 1]
-    """
-    size = 4
-    while size < 2.5 * len(keys):
-        size *= 2
-    while True:
-        table, mask = [-1] * size, size - 1
-        for i in range(len(keys)):
-            at = _slots(keys[i], mask)[0]
-            for _ in range(MAX_KICKS):
-                i, table[at] = table[at], i
-                if i < 0:
-                    break
-                one, two = _slots(keys[i], mask)
-                at = two if at == one else one
-            if i >= 0:
-                break
-        else:
-            return table
-        size *= 2
-
-
-def one_row(
-    spark: SparkSession, name: str, keys: list[str], values: list, kind: pa.DataType
-) -> dict[str, pa.Array]:
-    """The columns ``<name>_keys`` and ``<name>_values`` of a table's row, slot by slot."""
-    table = place(keys)
-    picked = [keys[i] if i >= 0 else None for i in table]
-    held = [values[i] if i >= 0 else None for i in table]
-    return {
-        f"{name}_keys": pa.array([picked], pa.list_(pa.string())),
-        f"{name}_values": pa.array([held], pa.list_(kind)),
-    }
-
 
 def constants(spark: SparkSession, columns: dict[str, pa.Array]) -> DataFrame:
     """One row of constants as a frame with the single column ``tables``."""
@@ -77,12 +24,3 @@ def with_constants(
     held = df.withColumn("_tables", tables.scalar())
     value = F.transform(F.array(F.col("_tables")), body)[0]
     return held.withColumn(out, value).drop("_tables")
-
-
-def find(tables: Column, name: str, key: Column) -> Column:
-    """The value stored for ``key``, else null."""
-    keys, values = tables[f"{name}_keys"], tables[f"{name}_values"]
-    mask = F.size(keys) - 1
-    one = F.xxhash64(key).bitwiseAND(mask.cast("long")).cast("int")
-    two = F.shiftright(F.xxhash64(key), 32).bitwiseAND(mask.cast("long")).cast("int")
-    return F.when(keys[one] == key, values[one]).when(keys[two] == key, values[two])
