@@ -1,9 +1,12 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A paragraph ends at a line break or after a sentence; its digest is xxHash64. A sketch has three
-tables of ``cells`` cells; each distinct digest is added to one cell of each table: a count, the
-exclusive-or of digests and that of check sums. Two sketches of one size subtract cell by cell,
-and peeling cells with a single digest recovers the digests that only one text has. Where that
+A paragraph ends at a line break, or after a sentence whose last letter is one of a to m: as in
+content-defined chunking the text itself decides, so that two versions are cut alike, and long
+lines do not count as one. A paragraph's digest is xxHash64. A sketch has three
+tables of ``cells`` cells; each distinct digest is added to one cell of each table, which holds
+the exclusive-or of digests and that of their check sums. Two sketches of one size subtract
+cell by cell (exclusive-or is its own inverse), and peeling cells with a single digest recovers
+the digests that only one text has. Where that
 fails, the sketches are made anew as large as both texts' digests need, and doubled up to
 ``RETRIES`` times; what is still left then is compared digest by digest.
 
@@ -26,10 +29,10 @@ from coursepulse.session import materialize
 TABLES = 3
 CELLS = 8
 RETRIES = 3
-PARAGRAPH_END = r"\n|(?<=[.!?]) "
+PARAGRAPH_END = r"\n|(?<=[a-m][.!?]) "
 ROUNDS = 24
 NULL_ID = -(1 << 63)
-CELL = "array<struct<cell:int,n:int,x:bigint,h:bigint>>"
+CELL = "array<struct<cell:bigint,x:bigint,h:bigint>>"
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -49,131 +52,92 @@ def _check(digest: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(digest, F.lit(TABLES)), 32)
 
 
-def _entries(found: Column, cells: Column, sign: Column) -> Column:
+def _entries(found: Column, cells: Column) -> Column:
     """One entry for each digest and table."""
-    return F.flatten(
-        F.transform(
-            found,
-            lambda d: bound(
-                _check(d),
-                lambda h: F.array(
-                    *(
-                        F.struct(
-                            (F.pmod(F.xxhash64(d, F.lit(t)), cells) + cells * t)
-                            .cast("int")
-                            .alias("cell"),
-                            sign.cast("int").alias("n"),
-                            d.alias("x"),
-                            h.alias("h"),
-                        )
-                        for t in range(TABLES)
-                    )
-                ),
-            ),
+
+    def spread(d: Column, h: Column) -> Column:
+        place = lambda t: F.pmod(F.xxhash64(d, F.lit(t)), cells) + cells * t
+        return F.array(
+            *(
+                F.struct(place(t).alias("cell"), d.alias("x"), h.alias("h"))
+                for t in range(TABLES)
+            )
         )
-    ).cast(CELL)
+
+    return F.flatten(F.transform(found, lambda d: bound(_check(d), lambda h: spread(d, h))))
 
 
 def _gather(entries: Column) -> Column:
     """Entries of one cell as one, in order of cells; cells that hold nothing are left out."""
-    none = F.array().cast(CELL)
-
-    def add(a: Column, b: Column) -> Column:
-        return F.struct(
-            a["cell"].alias("cell"),
-            (a["n"] + b["n"]).alias("n"),
-            a["x"].bitwiseXOR(b["x"]).alias("x"),
-            a["h"].bitwiseXOR(b["h"]).alias("h"),
-        )
 
     def close(state: Column) -> Column:
         last = state["last"]
-        used = (last["n"] != 0) | (last["x"] != 0) | (last["h"] != 0)
-        return F.when(used, F.concat(state["out"], F.array(last).cast(CELL))).otherwise(state["out"])
+        return F.when((last["x"] == 0) & (last["h"] == 0), state["out"]).otherwise(
+            F.concat(state["out"], F.array(last))
+        )
 
     def step(state: Column, e: Column) -> Column:
+        last = state["last"]
         return F.when(
-            state["last"]["cell"] == e["cell"],
-            F.struct(state["out"].alias("out"), add(state["last"], e).alias("last")),
+            last["cell"] == e["cell"],
+            F.struct(
+                state["out"].alias("out"),
+                F.struct(
+                    e["cell"].alias("cell"),
+                    last["x"].bitwiseXOR(e["x"]).alias("x"),
+                    last["h"].bitwiseXOR(e["h"]).alias("h"),
+                ).alias("last"),
+            ),
         ).otherwise(F.struct(close(state).alias("out"), e.alias("last")))
 
-    zero = lambda: F.lit(0).cast("bigint")
-    first = F.struct(
-        F.lit(-1).alias("cell"), F.lit(0).alias("n"), zero().alias("x"), zero().alias("h")
-    )
-    start = F.struct(none.alias("out"), first.alias("last"))
+    zero = F.lit(0).cast("bigint")
+    first = F.struct(F.lit(-1).cast("bigint").alias("cell"), zero.alias("x"), zero.alias("h"))
+    start = F.struct(F.array().cast(CELL).alias("out"), first.alias("last"))
     return F.aggregate(F.sort_array(entries), start, step, close)
 
 
 def sketch(found: Column, cells: Column) -> Column:
-    """The cells in use of the sketch of distinct digests."""
-    return _gather(_entries(found, cells, F.lit(1)))
+    """The cells in use of the sketch of distinct digests; ``cells`` is a bigint."""
+    return _gather(_entries(found, cells))
 
 
 def subtract(left: Column, right: Column) -> Column:
-    return _gather(
-        F.concat(
-            left,
-            F.transform(
-                right,
-                lambda c: F.struct(
-                    c["cell"].alias("cell"), (-c["n"]).alias("n"), c["x"].alias("x"), c["h"].alias("h")
-                ),
-            ).cast(CELL),
-        )
-    )
+    return _gather(F.concat(left, right))
 
 
 def peel(cells_left: Column, cells: Column) -> Column:
-    """Struct of ``left`` (cells that stay, empty on success), ``only_left``, ``only_right``."""
-    ids = "array<bigint>"
+    """Struct of ``left`` (cells that stay, empty on success) and ``found`` (digests)."""
 
-    def pure(state: Column) -> Column:
-        return F.filter(
-            state["left"], lambda c: (F.abs(c["n"]) == 1) & (c["h"] == _check(c["x"]))
-        )
-
-    def taken(state: Column, single: Column) -> Column:
-        side = lambda n: F.array_distinct(
-            F.transform(F.filter(single, lambda c: c["n"] == n), lambda c: c["x"])
-        )
-        return bound(
-            F.struct(side(1).alias("a"), side(-1).alias("b")),
-            lambda s: F.struct(
-                _gather(
-                    F.concat(
-                        state["left"],
-                        _entries(s["a"], cells, F.lit(-1)),
-                        _entries(s["b"], cells, F.lit(1)),
-                    )
-                ).alias("left"),
-                F.concat(state["only_left"], s["a"]).alias("only_left"),
-                F.concat(state["only_right"], s["b"]).alias("only_right"),
-                F.lit(False).alias("stuck"),
-            ),
-        )
+    def single(state: Column) -> Column:
+        alone = F.filter(state["left"], lambda c: c["h"] == _check(c["x"]))
+        return F.array_distinct(F.transform(alone, lambda c: c["x"]))
 
-    def still(state: Column) -> Column:
+    def taken(state: Column, found: Column) -> Column:
         return F.struct(
-            state["left"].alias("left"),
-            state["only_left"].alias("only_left"),
-            state["only_right"].alias("only_right"),
-            F.lit(True).alias("stuck"),
+            _gather(F.concat(state["left"], _entries(found, cells))).alias("left"),
+            F.concat(state["found"], found).alias("found"),
+            (F.size(found) == 0).alias("stuck"),
         )
 
     def step(state: Column, _: Column) -> Column:
         return F.when(state["stuck"], state).otherwise(
             bound(
-                pure(state),
-                lambda p: F.when(F.size(p) == 0, still(state)).otherwise(taken(state, p)),
+                single(state),
+                lambda found: F.when(
+                    F.size(found) == 0,
+                    F.struct(
+                        state["left"].alias("left"),
+                        state["found"].alias("found"),
+                        F.lit(True).alias("stuck"),
+                    ),
+                ).otherwise(taken(state, found)),
             )
         )
 
     start = F.struct(
         cells_left.alias("left"),
-        F.array().cast(ids).alias("only_left"),
-        F.array().cast(ids).alias("only_right"),
-        F.lit(False).alias("stuck"),
+        F.array().cast("array<bigint>").alias("found"),
+        (F.size(cells_left) == 0).alias("stuck"),
     )
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
 
@@ -185,10 +149,11 @@ def with_difference(df: DataFrame, a: str, b: str, sketch_a: str, sketch_b: str,
     """
     added = ["_cells", "_rest", "_peeled", "_tries"]
     df = df.withColumn("_rest", subtract(F.col(sketch_a), F.col(sketch_b)))
-    df = df.withColumn("_peeled", peel(F.col("_rest"), F.lit(CELLS))).withColumn("_tries", F.lit(0))
+    base = F.lit(CELLS).cast("bigint")
+    df = df.withColumn("_peeled", peel(F.col("_rest"), base)).withColumn("_tries", F.lit(0))
     # Two cells for each digest of either text, then twice as many.
     full = F.greatest(
-        F.lit(2 * CELLS), F.ceil((F.size(a) + F.size(b)) * 2 / F.lit(TABLES)).cast("int")
+        F.lit(2 * CELLS).cast("bigint"), F.ceil((F.size(a) + F.size(b)) * 2 / F.lit(TABLES))
     )
     failed = F.size(F.col("_peeled.left")) > 0
     for tries in range(1, RETRIES + 1):
@@ -201,7 +166,7 @@ def with_difference(df: DataFrame, a: str, b: str, sketch_a: str, sketch_b: str,
         df = df.withColumn(
             "_peeled", F.when(failed, peel(F.col("_rest"), cells)).otherwise(F.col("_peeled"))
         )
-    found = F.size(F.col("_peeled.only_left")) + F.size(F.col("_peeled.only_right"))
+    found = F.size(F.col("_peeled.found"))
     exact = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
     df = df.withColumn(f"{out}_n", F.when(failed, exact).otherwise(found))
     return df.withColumnRenamed("_tries", f"{out}_tries").drop(*added)
@@ -216,7 +181,7 @@ def likeness(a: Column, b: Column, differ: Column) -> Column:
 
 
 def printed(found: Column, cells: Column) -> Column:
-    """A sketch as text: the number of digests, then cell, count, digests and check in hex."""
+    """A sketch as text: the number of digests, then cell, digests and check in hex."""
     return F.concat_ws(
         ";",
         F.size(found).cast("string"),
@@ -224,8 +189,7 @@ def printed(found: Column, cells: Column) -> Column:
             F.transform(
                 cells,
                 lambda c: F.concat_ws(
-                    ",", c["cell"].cast("string"), c["n"].cast("string"),
-                    F.lower(F.hex(c["x"])), F.lower(F.hex(c["h"])),
+                    ",", c["cell"].cast("string"), F.lower(F.hex(c["x"])), F.lower(F.hex(c["h"]))
                 ),
             ),
             ";",
@@ -286,7 +250,7 @@ def compare(versions: DataFrame) -> DataFrame:
         F.col("next_digests").alias("_next"),
     )
     for name in ("own", "edit", "next"):
-        df = df.withColumn(f"_k_{name}", sketch(F.col(f"_{name}"), F.lit(CELLS)))
+        df = df.withColumn(f"_k_{name}", sketch(F.col(f"_{name}"), F.lit(CELLS).cast("bigint")))
     for name in ("edit", "next"):
         df = with_difference(df, "_own", f"_{name}", "_k_own", f"_k_{name}", name)
     return df.select(
