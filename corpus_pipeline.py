@@ -46,9 +46,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n")),
         "dedup-ids",
     )
-    dropped = by_id.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    # Joined alike at every size: the texts move once, by id.
+    dropped = by_id.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").hint("merge")
     kept = plain.join(dropped, "doc_id", "left_anti").select(*names)
-    repeated = by_id.filter("n > 1").select("doc_id")
+    repeated = by_id.filter("n > 1").select("doc_id").hint("merge")
     if not repeated.isEmpty():
         once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         kept = kept.join(repeated, "doc_id", "left_anti").select(*names).union(once.select(*names))
