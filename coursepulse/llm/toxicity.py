@@ -5,8 +5,10 @@ the others by its first ``STEMS`` characters, so that inflected and compound for
 stem are recognised, and other words share a vector only if they collide in all tables. Filters of widths ``WIDTHS`` slide over the whole
 text, each keeps its maximum, and a logistic layer scores the maxima. Only the text is an
 input. Labels come from a bounded sample: the ``SAMPLE`` labelled rows of either class that are
-first by a hash of their id. A threshold for each language is chosen on a part of the sample
-that takes no part in training.
+first by a hash of their id; every fourth of them takes no part in training. All labelled rows
+without part in training are scored, and counted by language, label and score; each class weighs
+as much as all its labelled rows, so that what the sample takes from either class does not move
+the cut. From these counts a threshold is chosen for each language.
 
 Null and empty texts have no windows and get the score of the bias alone. Labels that are null
 or contradict each other (repeated ids) count as toxic if any says so; null ids are ignored.
@@ -25,13 +27,16 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from coursepulse.session import materialize
+
 STEMS = (4, 5, 6)
 HASHES, HASH_BITS, DIM = 1 + len(STEMS), 16, 12
 WIDTHS, FILTERS = (1, 2, 3), 8
 # Bound of the sample: so many rows of either class.
 SAMPLE = 2000
 EPOCHS, BATCH, RATE = 8, 64, 0.02
-CALIBRATION = 4  # every fourth row of the sample chooses thresholds
+CALIBRATION = 4  # every fourth id of the sample is not trained on
+CUTS = np.linspace(0.05, 0.95, 91)
 LEAST = 10  # rows of either class that a language needs for a threshold of its own
 PUNCTUATION = ".,;:!?\"'()[]{}<>«»¿¡…-_*#"
 BLOCK_CHARS = 4 << 20
@@ -137,6 +142,19 @@ class Model:
             best = np.zeros((len(texts), len(WIDTHS) * FILTERS), np.float32)
         return 1 / (1 + np.exp(-(best.astype(np.float64) @ self.out + self.bias)))
 
+    def scores_of(self, texts: list[str | None]) -> np.ndarray:
+        """``scores``, a block of texts of about ``BLOCK_CHARS`` at a time."""
+        values, block, size = [np.empty(0)], [], 0
+        for x in texts:
+            block.append(x)
+            size += len(x or "")
+            if size >= BLOCK_CHARS:
+                values.append(self.scores(block))
+                block, size = [], 0
+        if block:
+            values.append(self.scores(block))
+        return np.concatenate(values)
+
 
 class Adam:
     def __init__(self, shape: tuple[int, ...], rate: float) -> None:
@@ -198,14 +216,64 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     return model
 
 
-def threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The cut with the best F1; the middle of the tied cuts. 0.5 without both classes."""
-    if labels.min(initial=1) == labels.max(initial=0) or not len(labels):
+def threshold(counts: np.ndarray, totals: np.ndarray) -> float:
+    """The cut with the best F1; the middle of the tied cuts. 0.5 without both classes.
+
+    ``counts``: rows by label (0 or 1) and number of ``CUTS`` that their score reaches;
+    ``totals``: the rows of each label that they stand for.
+    """
+    seen = counts.sum(axis=1)
+    if not seen.all():
         return 0.5
-    cuts = np.linspace(0.05, 0.95, 91)
-    chosen = scores[None, :] >= cuts[:, None]
-    f1 = 2 * (chosen * labels).sum(axis=1) / np.maximum(chosen.sum(axis=1) + labels.sum(), 1)
-    return float(np.median(cuts[f1 >= f1.max() - 1e-9]))
+    chosen = counts[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:] * (totals / seen)[:, None]
+    f1 = 2 * chosen[1] / (chosen.sum(axis=0) + totals[1])
+    return float(np.median(CUTS[f1 >= f1.max() - 1e-9]))
+
+
+def thresholds(
+    picked: DataFrame, known: DataFrame, trained: list[int], model: Model
+) -> dict[str | None, float]:
+    """Cuts by language and, for None, of all: from the rows of ``picked`` (id, lang, text) that
+    ``known`` (id, label) labels, those of the ids ``trained`` for their number only.
+
+    Scores meet the labels, not the texts; the driver gets counts.
+    """
+    shared = picked.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+
+    def binned(batches):
+        held = pickle.loads(shared.value)
+        for batch in batches:
+            reached = np.searchsorted(CUTS, held.scores_of(batch.column(2).to_pylist()), "right")
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(reached, pa.int32())], names=["id", "lang", "reached"]
+            )
+
+    left_out = picked.sparkSession.createDataFrame([(i, True) for i in trained], "id long, trained boolean")
+    counts = materialize(
+        picked.select("id", "lang", "text")
+        .filter("id IS NOT NULL")
+        .mapInArrow(binned, "id bigint, lang string, reached int")
+        .join(known, "id")
+        .join(F.broadcast(left_out), "id", "left")
+        .groupBy(
+            "lang",
+            (F.col("label") > 0).cast("int").alias("label"),
+            F.when(F.col("trained"), -1).otherwise(F.col("reached")).alias("reached"),
+        )
+        .agg(F.count(F.lit(1)).alias("n")),
+        "toxicity-counts",
+    )
+    fresh = lambda label: F.sum(F.when((F.col("label") == label) & (F.col("reached") >= 0), F.col("n")))
+    enough = counts.filter("lang IS NOT NULL").groupBy("lang").agg(fresh(0).alias("n0"), fresh(1).alias("n1"))
+    enough = enough.filter((F.col("n0") >= LEAST) & (F.col("n1") >= LEAST)).select("lang")
+    every = counts.groupBy("label", "reached").agg(F.sum("n").alias("n"))
+    rows = every.select(F.lit(None).cast("string").alias("lang"), "label", "reached", "n").collect()
+    rows += counts.join(enough, "lang", "left_semi").collect()
+    by_lang: dict[str | None, np.ndarray] = {None: np.zeros((2, len(CUTS) + 2))}
+    for lang, label, reached, n in rows:
+        # The last column has the rows trained on.
+        by_lang.setdefault(lang, np.zeros((2, len(CUTS) + 2)))[label, reached] += n
+    return {k: threshold(x[:, :-1], x.sum(axis=1)) for k, x in by_lang.items()}
 
 
 def fit(
@@ -221,12 +289,14 @@ def fit(
     """A model from at most ``sample`` labelled rows of either class.
 
     The chosen ids (at most twice ``sample``) are broadcast, so the documents are scanned, not
-    shuffled; the driver gets word numbers of the chosen rows only.
+    shuffled; the driver gets word numbers of the chosen rows only. Thresholds come from all
+    labelled rows that were not trained on.
     """
-    known = (
+    known = materialize(
         labels.filter(F.col(label_id).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(label_id).cast("bigint").alias("id"))
-        .agg(F.max(label).cast("int").alias("label"))
+        .agg(F.max(label).cast("int").alias("label")),
+        "toxicity-labels",
     )
     chosen = None
     for value in (0, 1):
@@ -246,9 +316,10 @@ def fit(
         F.col(id_col).cast("bigint").alias("id"),
         (F.col(lang) if lang in docs.columns else F.lit(None)).cast("string").alias("lang"),
         F.col(text).alias("text"),
-    ).join(F.broadcast(chosen), "id")
+    )
     rows = (
-        picked.select("id", "label", "lang", "text")
+        picked.join(F.broadcast(chosen), "id")
+        .select("id", "label", "lang", "text")
         .mapInArrow(numbered, "id bigint, label int, lang string, words binary")
         .collect()
     )
@@ -260,27 +331,13 @@ def fit(
         return model
     words = [np.frombuffer(r["words"], "<i4").reshape(-1, HASHES) for r in rows]
     y = np.array([r["label"] > 0 for r in rows], dtype=np.float32)
-    held = np.arange(len(rows)) % CALIBRATION == 0
-    keep = [i for i in range(len(rows)) if not held[i]] or list(range(len(rows)))
+    held = set(list(dict.fromkeys(r["id"] for r in rows))[::CALIBRATION])
+    keep = [i for i, r in enumerate(rows) if r["id"] not in held] or list(range(len(rows)))
     model = train([words[i] for i in keep], y[keep])
-    scored = np.array([_score_rows(model, words[i]) for i in np.flatnonzero(held)])
-    known_y, langs = y[held], np.array([r["lang"] or "" for r in rows])[held]
-    model.thresholds = {None: threshold(scored, known_y)}
-    for name in sorted(set(langs.tolist())):
-        own = langs == name
-        if min(known_y[own].sum(), (1 - known_y[own]).sum()) >= LEAST:
-            model.thresholds[name] = threshold(scored[own], known_y[own])
+    model.thresholds = thresholds(picked, known, sorted({rows[i]["id"] for i in keep}), model)
     return model
 
 
-def _score_rows(model: Model, rows: np.ndarray) -> float:
-    if not len(rows):
-        return float(1 / (1 + np.exp(-model.bias)))
-    shares = model.embed[rows].sum(axis=1) @ model.filters
-    best, _ = model.pooled(shares, np.array([len(rows)]))
-    return float(1 / (1 + np.exp(-(best[0].astype(np.float64) @ model.out + model.bias))))
-
-
 def score(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` with score, threshold (of the row's language) and rejected."""
     docs = docs.drop("score", "threshold", "rejected")
@@ -291,17 +348,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang")
     def scored(batches):
         held = pickle.loads(shared.value)
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            values, block, size = [], [], 0
-            for x in texts:
-                block.append(x)
-                size += len(x or "")
-                if size >= BLOCK_CHARS:
-                    values.append(held.scores(block))
-                    block, size = [], 0
-            if block:
-                values.append(held.scores(block))
-            flat = np.concatenate(values) if values else np.empty(0)
+            flat = held.scores_of(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(flat, pa.float64())],
                 names=[*(f"c{i}" for i in range(len(batch.columns))), "score"],

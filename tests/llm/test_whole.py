@@ -3,9 +3,49 @@
 import random
 from collections import Counter
 
-from coursepulse.llm import decontaminate
+import numpy as np
+
+from coursepulse.llm import decontaminate, toxicity
 from tests.llm.test_operators import prose
 
+# --- 5 toxicity -----------------------------------------------------------------------------
+
+
+def test_thresholds_come_from_all_labelled_rows(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = []
+    for i in range(1500):
+        words = prose(rng, rng.randint(5, 30)).split(" ")
+        toxic = int(i % 10 == 0)
+        if toxic or rng.random() < 0.05:
+            words.insert(rng.randrange(len(words)), rng.choice(["idiotic", "grumpf"]))
+        rows.append((i, " ".join(words), rng.choice(["en", "de", "fr"]), toxic))
+    rows.append((5000, "idiotic", None, 1))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    labels = table.select("doc_id", "toxic").filter("doc_id % 5 <> 3")
+    calls, real = [], getattr(toxicity, "thresholds", None)
+    monkeypatch.setattr(
+        toxicity, "thresholds", lambda *a: calls.append(a) or real(*a), raising=False
+    )
+    model = toxicity.fit(table, labels, sample=60)
+    assert set(model.thresholds) == {None, "de", "en", "fr"}
+    trained = set(calls[0][2])
+    scored = [r for r in toxicity.score(table, model).collect() if r.doc_id % 5 != 3]
+    assert len(trained) == 90 and len(scored) - len(trained) > 1000
+    for lang, got in model.thresholds.items():
+        own = [r for r in scored if lang in (None, r.lang)]
+        fresh = [r for r in own if r.doc_id not in trained]
+        weight = {
+            y: sum(r.toxic == y for r in own) / sum(r.toxic == y for r in fresh) for y in (0, 1)
+        }
+        f1 = []
+        for cut in toxicity.CUTS:
+            hit = sum(weight[1] for r in fresh if r.toxic and r.score >= cut)
+            wrong = sum(weight[0] for r in fresh if not r.toxic and r.score >= cut)
+            f1.append(2 * hit / (hit + wrong + sum(r.toxic for r in own)))
+        best = toxicity.CUTS[np.array(f1) >= max(f1) - 1e-9]
+        assert abs(got - np.median(best)) < 1e-9
+
 # --- 7 decontamination ----------------------------------------------------------------------
 
 
