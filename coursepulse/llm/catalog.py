@@ -138,7 +138,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return iblt.compare(iblt.edited_versions(table(spark, sf_dir, "documents")))
+    end = iblt.SENTENCE_END
+    return iblt.compare(iblt.edited_versions(table(spark, sf_dir, "documents"), end=end), end)
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

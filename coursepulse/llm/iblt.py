@@ -1,8 +1,10 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A paragraph ends at a line break, or after a sentence whose last letter is one of a to m: as in
+A paragraph ends at a line break or after a sentence (``SENTENCE_END``); a run of more than
+``LONG_RUN`` characters without such an end is cut after words chosen by their hash: as in
 content-defined chunking the text itself decides, so that two versions are cut alike, and long
-lines do not count as one. A paragraph's digest is xxHash64. A sketch has three
+lines do not count as one. ``PARAGRAPH_END``, the default, ends only at sentences whose last
+letter is one of a to m and leaves long runs whole. A paragraph's digest is xxHash64. A sketch has three
 tables of ``cells`` cells; each distinct digest is added to one cell of each table, which holds
 the exclusive-or of digests and that of their check sums. Two sketches of one size subtract
 cell by cell (exclusive-or is its own inverse), and peeling cells with a single digest recovers
@@ -30,6 +32,9 @@ TABLES = 3
 CELLS = 8
 RETRIES = 3
 PARAGRAPH_END = r"\n|(?<=[a-m][.!?]) "
+SENTENCE_END = r"\n|(?<=[.!?]) "
+# A longer run without an end is cut after about every sixteenth word, by the word's hash.
+LONG_RUN, RUN_WORDS = 400, 16
 ROUNDS = 24
 NULL_ID = -(1 << 63)
 CELL = "array<struct<cell:bigint,x:bigint,h:bigint>>"
@@ -40,11 +45,23 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def digests(text: Column) -> Column:
-    """The distinct paragraph digests of a text."""
-    parts = F.filter(
-        F.split(F.coalesce(text, F.lit("")), PARAGRAPH_END, -1), lambda p: F.trim(p) != ""
+def _cut_run(run: Column) -> Column:
+    """A run without line breaks in pieces that end after words of every sixteenth hash."""
+    ends = lambda w: F.pmod(F.xxhash64(w), F.lit(RUN_WORDS)) == 0
+    words = F.transform(
+        F.split(run, "(?<= )|(?<=[。！？、，])", -1),
+        lambda w: F.when(ends(w), F.concat(w, F.lit("\n"))).otherwise(w),
     )
+    return F.split(F.array_join(words, ""), "\n", -1)
+
+
+def digests(text: Column, end: str = PARAGRAPH_END) -> Column:
+    """The distinct paragraph digests of a text; ``SENTENCE_END`` also cuts long runs."""
+    parts = F.split(F.coalesce(text, F.lit("")), end, -1)
+    if end == SENTENCE_END:
+        cut = lambda p: F.when(F.length(p) > LONG_RUN, _cut_run(p)).otherwise(F.array(p))
+        parts = F.flatten(F.transform(parts, cut))
+    parts = F.filter(parts, lambda p: F.trim(p) != "")
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
@@ -197,7 +214,9 @@ def printed(found: Column, cells: Column) -> Column:
     )
 
 
-def edited_versions(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def edited_versions(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", end: str = PARAGRAPH_END
+) -> DataFrame:
     """doc_id, text, edited (last quarter replaced by the next text's start) and next_digests.
 
     The order is made of ids and hashes alone; texts move once to their id, their starts once
@@ -239,14 +258,17 @@ def edited_versions(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     )
 
 
-def compare(versions: DataFrame) -> DataFrame:
-    """The fingerprints of text and edited text, and the likeness to the edited and next text."""
+def compare(versions: DataFrame, end: str = PARAGRAPH_END) -> DataFrame:
+    """The fingerprints of text and edited text, and the likeness to the edited and next text.
+
+    ``end`` is that of ``edited_versions``.
+    """
     df = versions.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        digests(F.col("text")).alias("_own"),
-        digests(F.col("edited")).alias("_edit"),
+        digests(F.col("text"), end).alias("_own"),
+        digests(F.col("edited"), end).alias("_edit"),
         F.col("next_digests").alias("_next"),
     )
     for name in ("own", "edit", "next"):

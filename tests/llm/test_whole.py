@@ -1,11 +1,12 @@
 """Cases where an operator did less than the whole job, each against brute force."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
 
-from coursepulse.llm import decontaminate, toxicity
+from coursepulse.llm import catalog, decontaminate, iblt, toxicity
 from tests.llm.test_operators import prose
 
 # --- 5 toxicity -----------------------------------------------------------------------------
@@ -68,3 +69,26 @@ def test_leaks_with_words_replaced_at_any_place():
                 text = f"{prose(rng, 9)} {b' '.join(changed).decode()} {prose(rng, 9)}"
                 assert i in {x["item_id"] for x in index.leaks(text)}, (words, place)
     assert tried > 300
+
+
+# --- 8 sketches -----------------------------------------------------------------------------
+
+
+def test_every_sentence_end_cuts(spark, tmp_path):
+    rng = random.Random(12)
+    plain = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    texts = [
+        " ".join(f"{plain(6)} {end}" for end in ["ten.", "14.", "NO!", "caf\u00e9?", "sky."] * 8),
+        plain(400),
+        "\u65e5\u672c\u3002" * 3 + "".join(chr(0x4E00 + rng.randrange(5000)) + "\u3001" for _ in range(900)),
+        "",
+        None,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in catalog.QUERIES["op8_iblt"](spark, str(tmp_path)).collect()}
+    count = {i: int(r.fingerprint.split(";")[0]) for i, r in rows.items()}
+    assert count[0] == len(set(re.split(r"\n|(?<=[.!?]) ", texts[0]))) == 40
+    assert count[1] >= 10 and count[2] >= 10 and count[3] == count[4] == 0
+    # Three quarters of each text are unchanged.
+    assert all(rows[i].near_edited > 0.3 for i in (0, 1, 2))
