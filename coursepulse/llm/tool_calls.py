@@ -5,8 +5,9 @@ whose result it builds on (its parent); levels come from pointer doubling, so th
 calls takes log2(n) joins, and a conversation of any length is never one task's group. Arguments
 are checked against the tool's schema. Messages are objects with sorted keys and no blanks.
 
-Repeated calls or results of one identifier count as one: the first by turn, then by content.
-A null identifier never links; a null turn comes first. Arguments that are no JSON object, tools
+Of repeated calls or results of one identifier the first by turn, then by content, is linked; the
+others stay, marked alike, at its level. Rows equal in every column are one. A null identifier
+or conversation never links; a null turn comes first. Arguments that are no JSON object, tools
 without schema, missing, unknown and wrongly typed keys, calls without result, results without
 call, unknown parents and cycles (all their calls, and those that build on them) are told in
 ``problems``; such rows stay. Empty tables give empty results.
@@ -45,11 +46,17 @@ def schema_frame(spark: SparkSession, tools: dict[str, dict[str, tuple[str, bool
 
 
 def _key(conv: str, call: Column, *else_by: str) -> Column:
-    """Conversation and identifier as one text; an identifier of its own for null."""
-    alone = F.concat(F.lit("null" + MARK), F.hex(F.xxhash64(*else_by)))
-    return F.concat(
-        F.coalesce(F.col(conv).cast("string"), F.lit("null")), F.lit(MARK), F.coalesce(call, alone)
-    )
+    """Conversation and identifier as one text; a key of its own where either is null."""
+    # xxhash64 skips nulls, so the fields' places are hashed with them.
+    fields = F.struct(*(F.col(c).isNull() for c in else_by))
+    alone = F.concat(F.lit("null" + MARK), F.hex(F.xxhash64(call, *else_by, fields)))
+    return F.coalesce(F.concat(F.col(conv).cast("string"), F.lit(MARK), call), alone)
+
+
+def _repeats(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(key, name) once for each distinct row; and the least of each key with its rows' number."""
+    rows = materialize(rows.groupBy("key", name).agg(F.count(F.lit(1)).alias("n")), f"{name}s")
+    return rows.drop("n"), rows.groupBy("key").agg(F.min(name).alias(name), F.sum("n").alias(f"{name}s"))
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -129,31 +136,41 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     call_id, turn, content; schemas: see ``schema_frame``, one row a tool. Rows: conv_id,
     position (from 0), kind, call_id, level, problems and message.
     """
-    asked = (
-        calls.withColumn("key", _key("conv_id", F.col("call_id"), "conv_id", "turn", "name", "arguments"))
+    every_call, asked = _repeats(
+        calls.withColumn(
+            "key", _key("conv_id", F.col("call_id"), "conv_id", "turn", "name", "arguments", "parent_id")
+        )
         .withColumn(
             "parent",
             F.when(F.col("parent_id").isNotNull(), _key("conv_id", F.col("parent_id"), "conv_id")),
         )
-        .groupBy("key")
-        .agg(
-            F.min(F.struct("turn", "name", "arguments", "parent", "conv_id", "call_id")).alias("call"),
-            F.count(F.lit(1)).alias("calls"),
-        )
+        .select("key", F.struct("turn", "name", "arguments", "parent", "conv_id", "call_id").alias("call")),
+        "call",
     )
-    told = (
+    every_result, told = _repeats(
         results.withColumn("key", _key("conv_id", F.col("call_id"), "conv_id", "turn", "content"))
-        .groupBy("key")
-        .agg(
-            F.min(F.struct("turn", "content", "conv_id", "call_id")).alias("result"),
-            F.count(F.lit(1)).alias("results"),
-        )
+        .select("key", F.struct("turn", "content", "conv_id", "call_id").alias("result")),
+        "result",
     )
-    asked = materialize(asked, "calls")
     depth = levels(asked.select("key", F.col("call.parent").alias("parent")))
-    linked = (
+    met = materialize(
         asked.hint("shuffle_hash")
         .join(told.hint("shuffle_hash"), "key", "full")
+        .withColumns({"asked": F.col("call").isNotNull(), "answered": F.col("result").isNotNull()}),
+        "call-pairs",
+    )
+
+    def others(every: DataFrame, name: str) -> DataFrame:
+        """The repeated rows that are not linked, without their counterpart."""
+        first = met.filter(F.col(f"{name}s") > 1).withColumnRenamed(name, "first")
+        rest = first.join(every, "key").filter(~F.col(name).eqNullSafe(F.col("first")))
+        gone = "result" if name == "call" else "call"
+        kept = rest.drop("first").withColumn(gone, F.lit(None).cast(met.schema[gone].dataType))
+        return kept.select(*met.columns)
+
+    linked = (
+        met.union(others(every_call, "call"))
+        .union(others(every_result, "result"))
         .join(depth, "key", "left")
         .join(schemas.select(F.col("name").alias("tool"), "rules"), F.col("call.name") == F.col("tool"), "left")
     )
@@ -163,11 +180,11 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
         flag(F.col("calls") > 1, "repeated"),
         flag(F.col("cyclic"), "cycle"),
         flag(F.col("lost"), "parent"),
-        flag(~has_result, "no result"),
+        flag(~F.col("answered"), "no result"),
         problems_of(F.col("call.arguments"), F.col("rules")),
     )
     result_problems = F.concat(
-        flag(F.col("results") > 1, "repeated"), flag(~has_call, "no call")
+        flag(F.col("results") > 1, "repeated"), flag(~F.col("asked"), "no call")
     )
     value = F.try_parse_json("call.arguments")
     # Fields in the order of their names; a variant prints its own keys sorted.

@@ -6,8 +6,8 @@ from collections import Counter
 
 import numpy as np
 
-from coursepulse.llm import catalog, decontaminate, iblt, toxicity
-from tests.llm.test_operators import prose
+from coursepulse.llm import catalog, decontaminate, tool_calls, toxicity
+from tests.llm.test_operators import CALLS, RESULTS, TOOLS, prose
 
 # --- 5 toxicity -----------------------------------------------------------------------------
 
@@ -92,3 +92,22 @@ def test_every_sentence_end_cuts(spark, tmp_path):
     assert count[1] >= 10 and count[2] >= 10 and count[3] == count[4] == 0
     # Three quarters of each text are unchanged.
     assert all(rows[i].near_edited > 0.3 for i in (0, 1, 2))
+
+
+# --- 1 tool calls ---------------------------------------------------------------------------
+
+
+def test_no_call_or_result_is_lost(spark):
+    calls = [(1, "a", None, 0, "search", '{"q":"one"}'), (1, "a", None, 0, "search", '{"q":"two"}'),
+             (None, "a", None, 0, "search", '{"q":"three"}'), (None, "a", None, 0, "search", '{"q":"four"}')]
+    results = [(1, "a", 1, "r1"), (1, "a", 1, "r2"), (None, "a", 1, "r3"), (None, "a", 1, "r4")]
+    rows = tool_calls.link(
+        spark.createDataFrame(calls, CALLS),
+        spark.createDataFrame(results, RESULTS),
+        tool_calls.schema_frame(spark, TOOLS),
+    ).collect()
+    assert len(rows) == 8
+    for word in ("one", "two", "three", "four", "r1", "r2", "r3", "r4"):
+        assert sum(f'"{word}"' in r.message for r in rows) == 1
+    assert [r.problems for r in rows if r.conv_id == 1] == ["repeated"] * 4
+    assert {r.problems for r in rows if r.conv_id is None} == {"no result", "no call"}
