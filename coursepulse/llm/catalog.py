@@ -12,6 +12,7 @@ from coursepulse.llm import (
     decontaminate,
     golay_simhash,
     iblt,
+    relative_lz,
     repeats,
     secrets,
     sharding,
@@ -166,6 +167,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = relative_lz.remove_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_words", gone.alias("n_removed"), _sha256(F.col("kept")).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tool_calls": op1_tool_calls,
     "op2_byte_bpe": op2_byte_bpe,
@@ -177,4 +186,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_iblt": op8_iblt,
     "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
+    "op11_relative_lz": op11_relative_lz,
 }
