@@ -12,6 +12,7 @@ from coursepulse.llm import (
     decontaminate,
     golay_simhash,
     iblt,
+    path_ranking,
     relative_lz,
     repeats,
     secrets,
@@ -20,6 +21,7 @@ from coursepulse.llm import (
     tool_calls,
     toxicity,
 )
+from coursepulse.session import materialize
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -175,6 +177,70 @@ def op11_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PART_ROWS = 4096  # rows whose messages are joined before those of a whole conversation
+
+
+def damage(said: DataFrame) -> DataFrame:
+    """``conversations`` with faults, by the checksum of each row's ids; nulls are one space."""
+    text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    key = F.concat_ws(":", text("conv_id"), text("turn"))
+    kind = F.crc32(key.cast("binary")) % 20
+    bare = F.regexp_replace(text("text"), "[.!?]", "")
+    return (
+        said.withColumn("_kind", kind)
+        .filter("_kind <> 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("_kind") == 4, "user").otherwise(text("role")).alias("role"),
+            F.when(F.col("_kind") == 1, "").when(F.col("_kind") == 2, bare).otherwise(text("text")).alias("text"),
+            F.explode(F.sequence(F.lit(1), F.when(F.col("_kind") == 3, 2).otherwise(1))).alias("_copy"),
+        )
+        .drop("_copy")
+    )
+
+
+def op12_path_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with faults, repaired; the damage is part of the query."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = materialize(path_ranking.repair(damage(said)), "repaired")
+    line = F.transform("messages", lambda m: F.concat_ws(":", m["role"], m["text"]))
+    parts = rows.groupBy("conv_id", F.floor(F.col("at") / PART_ROWS).alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("at", "edits", line.alias("lines")))).alias("x")
+    )
+    joined = parts.select(
+        "conv_id",
+        F.struct(
+            "part",
+            F.array_join(F.col("x.edits"), "").alias("edits"),
+            F.flatten(F.col("x.lines")).alias("lines"),
+        ).alias("x"),
+    )
+    texts = joined.groupBy("conv_id").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    of = lambda fault: F.count_if(F.col("fault") == fault).alias(fault)
+    turns = F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn")
+    counts = rows.groupBy("conv_id").agg(
+        turns.alias("gaps"),
+        of("blank"),
+        of("duplicate"),
+        of("truncated"),
+        F.count_if("illegal").alias("illegal"),
+        F.sum("cost").alias("cost"),
+    )
+    ids = said.select(F.col("conv_id").alias("id")).distinct()
+    found = counts.withColumnRenamed("conv_id", "c").join(
+        texts.withColumnRenamed("conv_id", "t"), F.col("c").eqNullSafe(F.col("t"))
+    )
+    zero = lambda name: F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name)
+    empty = F.array().cast("array<string>")
+    return ids.join(found, F.col("id").eqNullSafe(F.col("c")), "left").select(
+        F.col("id").alias("conv_id"),
+        *(zero(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce(F.array_join(F.col("x.edits"), ""), F.lit("")).alias("audit"),
+        _sha256(F.array_join(F.coalesce(F.flatten("x.lines"), empty), "\n")).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tool_calls": op1_tool_calls,
     "op2_byte_bpe": op2_byte_bpe,
@@ -187,4 +253,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
     "op11_relative_lz": op11_relative_lz,
+    "op12_path_ranking": op12_path_ranking,
 }
