@@ -13,6 +13,7 @@ from coursepulse.llm import (
     golay_simhash,
     iblt,
     path_ranking,
+    prefix_trie,
     relative_lz,
     repeats,
     secrets,
@@ -241,6 +242,50 @@ def op12_path_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rebuilt(said: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(turns, conversations): each begins with the first turns of the hundred's first one.
+
+    How many are taken is the checksum of its own id, modulo 6; its own turns follow from there.
+    """
+    rows, found = prefix_trie.ordered(said)
+    c = F.col("conv_id")
+    sized = found.select(
+        "conv_id",
+        "first",
+        "last",
+        (F.crc32(c.cast("string").cast("binary")) % 6).alias("h"),
+        (c - c % 100).alias("base"),
+    )
+    bases = found.select(
+        c.alias("base"), F.col("first").alias("begin"), (F.col("last") - F.col("first") + 1).alias("n")
+    )
+    heads = F.least("h", F.coalesce("n", F.lit(0)))
+    own = F.greatest(F.col("last") - F.col("first") + 1 - F.col("h"), F.lit(0))
+    convs = materialize(
+        sized.join(bases, "base", "left")
+        .withColumn("n_head", heads)
+        .select("conv_id", "first", "last", "h", "begin", "n_head", (F.col("n_head") + own).alias("n_turns")),
+        "trie-conversations",
+    )
+    taken = convs.filter("n_head > 0").select(
+        "conv_id", "n_turns", "begin", F.explode(F.sequence(F.lit(1), F.col("n_head"))).alias("depth")
+    )
+    lent = rows.select("at", "digest", "chars")
+    begun = taken.withColumn("at", F.col("begin") + F.col("depth") - 1).join(lent, "at")
+    place = F.col("at") - F.col("first") - F.col("h")
+    kept = prefix_trie.with_conversation(rows, convs).filter(place >= 0)
+    names = ["conv_id", "depth", "digest", "chars", "n_turns"]
+    turns = begun.select(*names).union(
+        kept.withColumn("depth", F.col("n_head") + place + 1).select(*names)
+    )
+    return turns, convs.select("conv_id", "n_turns")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.build(*rebuilt(said))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tool_calls": op1_tool_calls,
     "op2_byte_bpe": op2_byte_bpe,
@@ -254,4 +299,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
     "op11_relative_lz": op11_relative_lz,
     "op12_path_ranking": op12_path_ranking,
+    "op13_prefix_trie": op13_prefix_trie,
 }
