@@ -119,7 +119,7 @@ def held_out(doc_id: Column) -> Column:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
-    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    scored = toxicity.fit_and_score(docs, labels, keep=["doc_id"])
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),

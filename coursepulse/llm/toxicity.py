@@ -19,13 +19,15 @@ Repeated rows keep their number; further columns are kept, those of an output's
 from __future__ import annotations
 
 import pickle
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from coursepulse.session import materialize
 
@@ -36,16 +38,46 @@ WIDTHS, FILTERS = (1, 2, 3), 8
 SAMPLE = 2000
 EPOCHS, BATCH, RATE = 8, 64, 0.02
 CALIBRATION = 4  # every fourth id of the sample is not trained on
+OUTPUTS = ["score", "threshold", "rejected"]
 CUTS = np.linspace(0.05, 0.95, 91)
 LEAST = 10  # rows of either class that a language needs for a threshold of its own
 PUNCTUATION = ".,;:!?\"'()[]{}<>«»¿¡…-_*#"
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 1 << 20
+BATCH_ROWS = 256  # rows of an Arrow batch that are Python objects at a time
+WORD_END = re.compile(r"(?<=\S)\s")
 
 
 def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
+def pieces(text: str | None, size: int | None = None) -> Iterator[str]:
+    """A text in pieces of about ``size`` (BLOCK_CHARS), cut between words.
+
+    A piece begins with the last words of the one before, one less than the widest filter takes,
+    so that each window is in a piece.
+    """
+    text, size, start = text or "", size or BLOCK_CHARS, 0
+    while True:
+        cut, words = WORD_END.search(text, start + size), []
+        while cut:
+            words = text[start : cut.start()].rsplit(None, max(WIDTHS) - 1)
+            if len(words) == max(WIDTHS):
+                break
+            cut = WORD_END.search(text, cut.end())
+        if not cut:
+            yield text[start:]
+            return
+        yield text[start : cut.start()]
+        start += len(words[0])
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 def rows_of(words: list[str]) -> np.ndarray:
     """For each word its row in each table."""
     digest = xxhash.xxh64_intdigest
@@ -127,33 +159,34 @@ class Model:
 
     training = False
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        """Scores of whole texts; distinct words are embedded and filtered once."""
+    def _maxima(self, texts: list[str]) -> np.ndarray:
+        """Maxima of each filter; distinct words are embedded and filtered once."""
         local: dict[str, int] = {}
         split = [words_of(x) for x in texts]
         lengths = np.array([len(x) for x in split], dtype=np.int64)
         index = np.fromiter(
             (local.setdefault(w, len(local)) for x in split for w in x), dtype=np.int64
         )
-        if len(index):
-            shares = self.embed[rows_of(list(local))].sum(axis=1) @ self.filters
-            best, _ = self.pooled(shares[index], lengths)
-        else:
-            best = np.zeros((len(texts), len(WIDTHS) * FILTERS), np.float32)
-        return 1 / (1 + np.exp(-(best.astype(np.float64) @ self.out + self.bias)))
+        if not len(index):
+            return np.zeros((len(texts), len(WIDTHS) * FILTERS), np.float32)
+        shares = self.embed[rows_of(list(local))].sum(axis=1) @ self.filters
+        return self.pooled(shares[index], lengths)[0]
 
     def scores_of(self, texts: list[str | None]) -> np.ndarray:
-        """``scores``, a block of texts of about ``BLOCK_CHARS`` at a time."""
-        values, block, size = [np.empty(0)], [], 0
-        for x in texts:
-            block.append(x)
-            size += len(x or "")
-            if size >= BLOCK_CHARS:
-                values.append(self.scores(block))
-                block, size = [], 0
+        """Scores of whole texts, of which about ``BLOCK_CHARS`` are split into words at a time."""
+        best = np.zeros((len(texts), len(WIDTHS) * FILTERS), np.float32)
+        block, owners, size = [], [], 0
+        for i, text in enumerate(texts):
+            for piece in pieces(text):
+                block.append(piece)
+                owners.append(i)
+                size += len(piece)
+                if size >= BLOCK_CHARS:
+                    np.maximum.at(best, owners, self._maxima(block))
+                    block, owners, size = [], [], 0
         if block:
-            values.append(self.scores(block))
-        return np.concatenate(values)
+            np.maximum.at(best, owners, self._maxima(block))
+        return 1 / (1 + np.exp(-(best.astype(np.float64) @ self.out + self.bias)))
 
 
 class Adam:
@@ -240,25 +273,29 @@ def thresholds(
     """
     shared = picked.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
-    def binned(batches):
+    def scored(batches):
         held = pickle.loads(shared.value)
-        for batch in batches:
-            reached = np.searchsorted(CUTS, held.scores_of(batch.column(2).to_pylist()), "right")
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(reached, pa.int32())], names=["id", "lang", "reached"]
-            )
+        for batch in sliced(batches):
+            found = pa.array(held.scores_of(batch.column(2).to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], found], names=["id", "lang", "score"])
+
+    rows = picked.select("id", "lang", "text").filter("id IS NOT NULL")
+    return _cuts(rows.mapInArrow(scored, "id bigint, lang string, score double"), known, trained)
+
 
-    left_out = picked.sparkSession.createDataFrame([(i, True) for i in trained], "id long, trained boolean")
+def _cuts(scored: DataFrame, known: DataFrame, trained: list[int]) -> dict[str | None, float]:
+    """Cuts from scores (id, lang, score) and labels, as ``thresholds``."""
+    left_out = scored.sparkSession.createDataFrame([(i, True) for i in trained], "id long, trained boolean")
+    steps = F.array(*(F.lit(float(c)) for c in CUTS))
+    reached = F.size(F.filter(steps, lambda c: c <= F.col("score")))
     counts = materialize(
-        picked.select("id", "lang", "text")
-        .filter("id IS NOT NULL")
-        .mapInArrow(binned, "id bigint, lang string, reached int")
+        scored.filter("id IS NOT NULL")
         .join(known, "id")
         .join(F.broadcast(left_out), "id", "left")
         .groupBy(
             "lang",
             (F.col("label") > 0).cast("int").alias("label"),
-            F.when(F.col("trained"), -1).otherwise(F.col("reached")).alias("reached"),
+            F.when(F.col("trained"), -1).otherwise(reached).alias("reached"),
         )
         .agg(F.count(F.lit(1)).alias("n")),
         "toxicity-counts",
@@ -286,11 +323,23 @@ def fit(
     sample: int = SAMPLE,
     label_id: str = "doc_id",
 ) -> Model:
-    """A model from at most ``sample`` labelled rows of either class.
+    """A model from at most ``sample`` labelled rows of either class, with its thresholds.
+
+    Thresholds come from all labelled rows that were not trained on.
+    """
+    model, picked, known, trained = _learn(docs, labels, id_col, text, label, lang, sample, label_id)
+    if trained:
+        model.thresholds = thresholds(picked, known, trained, model)
+    return model
+
+
+def _learn(
+    docs: DataFrame, labels: DataFrame, id_col: str, text: str, label: str, lang: str, sample: int, label_id: str
+) -> tuple[Model, DataFrame, DataFrame, list[int]]:
+    """The model, the documents (id, lang, text), the labels, and the ids trained on.
 
     The chosen ids (at most twice ``sample``) are broadcast, so the documents are scanned, not
-    shuffled; the driver gets word numbers of the chosen rows only. Thresholds come from all
-    labelled rows that were not trained on.
+    shuffled; the driver gets word numbers of the chosen rows only.
     """
     known = materialize(
         labels.filter(F.col(label_id).isNotNull() & F.col(label).isNotNull())
@@ -305,7 +354,7 @@ def fit(
         chosen = part if chosen is None else chosen.union(part)
 
     def numbered(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [rows_of(words_of(x)) for x in batch.column(3).to_pylist()]
             packed = pa.array([x.astype("<i4").tobytes() for x in rows], pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -328,44 +377,83 @@ def fit(
         model = Model.start()
         model.out[:] = 0
         model.thresholds = {None: 1.1}
-        return model
+        return model, picked, known, []
     words = [np.frombuffer(r["words"], "<i4").reshape(-1, HASHES) for r in rows]
     y = np.array([r["label"] > 0 for r in rows], dtype=np.float32)
     held = set(list(dict.fromkeys(r["id"] for r in rows))[::CALIBRATION])
     keep = [i for i, r in enumerate(rows) if r["id"] not in held] or list(range(len(rows)))
     model = train([words[i] for i in keep], y[keep])
-    model.thresholds = thresholds(picked, known, sorted({rows[i]["id"] for i in keep}), model)
-    return model
+    return model, picked, known, sorted({rows[i]["id"] for i in keep})
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` with score, threshold (of the row's language) and rejected."""
-    docs = docs.drop("score", "threshold", "rejected")
-    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
-    names = docs.columns
+def fit_and_score(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    lang: str = "lang",
+    sample: int = SAMPLE,
+    label_id: str = "doc_id",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """``score`` by a model that ``fit`` learns, but every text is scored once.
+
+    The scores are stored with the columns ``keep`` (all, if None); the thresholds come from what
+    is stored, so the texts are not read again for them.
+    """
+    model, _, known, trained = _learn(docs, labels, id_col, text, label, lang, sample, label_id)
+    names = [n for n in (docs.columns if keep is None else keep) if n not in OUTPUTS]
+    of = lambda name, kind: (F.col(name) if name in docs.columns else F.lit(None)).cast(kind)
+    plain = docs.select(
+        *(F.col(n).alias(f"c{i}") for i, n in enumerate(names)),
+        of(id_col, "bigint").alias("own_id"),
+        of(lang, "string").alias("own_lang"),
+        F.col(text).alias("own_text"),
+    )
+    stored = materialize(_scored(plain, model, "own_text").drop("own_text"), "toxicity-scores")
+    if trained:
+        scores = stored.select(F.col("own_id").alias("id"), F.col("own_lang").alias("lang"), "score")
+        model.thresholds = _cuts(scores, known, trained)
+    out = _judged(stored, model, F.col("own_lang"))
+    return out.drop("own_id", "own_lang").toDF(*names, *OUTPUTS)
+
+
+def _scored(plain: DataFrame, model: Model, text: str) -> DataFrame:
+    """``plain``, whose columns have names of their own, with its score."""
+    shared = plain.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    names = plain.columns
     at = names.index(text)
 
     def scored(batches):
         held = pickle.loads(shared.value)
-        for batch in batches:
-            flat = held.scores_of(batch.column(at).to_pylist())
+        for batch in sliced(batches):
+            found = held.scores_of(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(flat, pa.float64())],
-                names=[*(f"c{i}" for i in range(len(batch.columns))), "score"],
+                [*batch.columns, pa.array(found, pa.float64())], names=[*names, "score"]
             )
 
-    inner = T.StructType(
-        [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
-        + [T.StructField("score", T.DoubleType())]
-    )
-    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
-    out = plain.mapInArrow(scored, inner)
+    schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
+    return plain.mapInArrow(scored, schema)
+
+
+def _judged(scored: DataFrame, model: Model, own: Column | None) -> DataFrame:
+    """With threshold and rejected, by the language ``own``."""
     cut = F.lit(model.thresholds[None])
-    if lang in names:
-        own = F.col(f"c{names.index(lang)}")
+    if own is not None:
         for name, value in model.thresholds.items():
             if name is not None:
                 cut = F.when(own == name, F.lit(value)).otherwise(cut)
-    out = out.withColumn("threshold", cut)
-    out = out.withColumn("rejected", F.col("score") >= F.col("threshold"))
-    return out.toDF(*names, "score", "threshold", "rejected")
+    return scored.withColumn("threshold", cut).withColumn(
+        "rejected", F.col("score") >= F.col("threshold")
+    )
+
+
+def score(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` with score, threshold (of the row's language) and rejected."""
+    docs = docs.drop(*OUTPUTS)
+    names = docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    own = F.col(f"c{names.index(lang)}") if lang in names else None
+    out = _judged(_scored(plain, model, f"c{names.index(text)}"), model, own)
+    return out.toDF(*names, *OUTPUTS)

@@ -115,3 +115,13 @@ def test_queries_cover_their_table(spark, sf, given, name):
     if name == "op5_toxicity":
         wrong = F.col("predicted") != (F.col("score") >= 0.5).cast("int")
         assert out.filter(wrong).isEmpty()
+
+
+def test_equal_rows_of_null_ids_stay_once(spark, sf):
+    rows = [(1, "one two three four five six", "en"), (1, "alpha beta gamma delta epsilon zeta", "en"),
+            (2, "alpha beta gamma delta epsilon zeta", "en"), (None, "a null id", "en"), (None, "a null id", "de"),
+            (None, "one two three four five six", "en"), (None, None, "en"), (None, "", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = [(r.doc_id, r.text or "") for r in by_name("simhash near-dedup")(spark, docs, sf).collect()]
+    assert sorted(t for i, t in kept if i is None) == ["", "a null id", rows[0][1]]
+    assert [i for i, _ in kept if i is not None] == [1]

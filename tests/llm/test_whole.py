@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from coursepulse.llm import catalog, decontaminate, tool_calls, toxicity
 from tests.llm.test_operators import CALLS, RESULTS, TOOLS, prose
@@ -111,3 +112,33 @@ def test_no_call_or_result_is_lost(spark):
         assert sum(f'"{word}"' in r.message for r in rows) == 1
     assert [r.problems for r in rows if r.conv_id == 1] == ["repeated"] * 4
     assert {r.problems for r in rows if r.conv_id is None} == {"no result", "no call"}
+
+
+def test_long_texts_are_scored_in_pieces_without_loss(monkeypatch):
+    rng = random.Random(13)
+    model = toxicity.Model.start()
+    texts = [prose(rng, rng.randint(0, 400)) + rng.choice(["", " ", "\n "]) for _ in range(30)]
+    texts += [None, "", "   ", "a", "x" * 500, "a b", " ".join("abc" for _ in range(300))]
+    whole = model.scores_of(texts)
+    for size in (1, 7, 100):
+        monkeypatch.setattr(toxicity, "BLOCK_CHARS", size)
+        assert np.allclose(model.scores_of(texts), whole, atol=1e-6)
+        for text in texts:
+            found = [toxicity.words_of(p) for p in toxicity.pieces(text)]
+            windows = {tuple(w[k : k + n]) for w in found for n in (1, 2, 3) for k in range(len(w) - n + 1)}
+            words = toxicity.words_of(text)
+            assert windows == {tuple(words[k : k + n]) for n in (1, 2, 3) for k in range(len(words) - n + 1)}
+
+
+def test_scored_once_as_by_fit_and_score(spark):
+    rng = random.Random(14)
+    rows = [(i, prose(rng, 20) + (" idiotic" if i % 7 == 0 else ""), rng.choice(["en", "de", None])) for i in range(300)]
+    rows += [(None, "idiotic", "en"), (7, "twice", "en"), (8, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("own"))
+    labels = spark.range(0, 300, 2).selectExpr("id AS doc_id", "int(id % 7 = 0) AS toxic")
+    want = toxicity.score(docs, toxicity.fit(docs, labels))
+    got = toxicity.fit_and_score(docs, labels)
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert toxicity.fit_and_score(docs.limit(0), labels).collect() == []
+    assert toxicity.fit_and_score(docs, labels.limit(0), keep=["doc_id"]).filter("rejected").isEmpty()
