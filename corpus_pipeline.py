@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of its predecessor. All but the last
 return the columns of ``docs``. Stages name columns by place inside, so that further columns,
-whatever their names, pass through. Null texts count as empty; rows with a null id are kept as
-they are judged alone; empty tables pass through all stages.
+whatever their names, pass through. Null texts count as empty; rows with a null id are judged
+alone, and equal ones kept once; empty tables pass through all stages.
 """
 
 from __future__ import annotations
@@ -29,31 +29,42 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     plain, names = _inner(docs)
     labels = catalog.table(spark, sf_dir, "labels")
     labels = labels.filter(~catalog.held_out(F.col("doc_id")))
-    scored = toxicity.score(plain, toxicity.fit(plain, labels))
+    scored = toxicity.fit_and_score(plain, labels)
     return scored.filter(~F.col("rejected")).select(*names).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays, once.
 
-    Groups are those of ``op4``'s contract: three-word shingles, 2 of 64 bits.
+    Groups are those of ``op4``'s contract: three-word shingles, 2 of 64 bits. Of rows that share
+    an id the one with the least hash of its text stays. Rows with a null id are no
+    near-duplicates; of those with equal texts one stays.
     """
     plain, names = _inner(docs)
     found = golay_simhash.near_duplicates(plain.select("doc_id", "text"), shingle=3)
     by_id = materialize(
-        found.filter("doc_id IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n")),
+        found.groupBy("doc_id").agg(
+            F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n")
+        ),
         "dedup-ids",
     )
     # Joined alike at every size: the texts move once, by id.
     dropped = by_id.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").hint("merge")
     kept = plain.join(dropped, "doc_id", "left_anti").select(*names)
-    repeated = by_id.filter("n > 1").select("doc_id").hint("merge")
-    if not repeated.isEmpty():
-        once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(repeated, "doc_id", "left_anti").select(*names).union(once.select(*names))
-    return kept.toDF(*docs.columns)
+    several = by_id.filter("n > 1")
+    if several.isEmpty():
+        return kept.toDF(*docs.columns)
+    repeated = several.filter("doc_id IS NOT NULL").select("doc_id").hint("merge")
+    once = kept.filter("doc_id IS NOT NULL").join(repeated, "doc_id", "left_anti").select(*names)
+    again = kept.join(repeated, "doc_id", "left_semi").select(*names)
+    again = again.union(kept.filter("doc_id IS NULL"))
+    again = materialize(again.withColumn("own_row", F.monotonically_increasing_id()), "dedup-again")
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    least = F.min(F.struct(text, "own_row"))["own_row"].alias("own_row")
+    chosen = again.groupBy("doc_id", F.when(F.col("doc_id").isNull(), text)).agg(least)
+    return once.union(again.join(chosen.select("own_row"), "own_row", "left_semi").select(*names)).toDF(
+        *docs.columns
+    )
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
