@@ -11,13 +11,22 @@ from coursepulse import fixtures as X, schema as S
 from coursepulse.functions import draws as D
 from coursepulse.functions.labels import behavior_from_index, label_behavior
 from coursepulse.functions.timestamps import timestamp_text
-from coursepulse.operators import alerts, cleaning, metrics, oplog, quality, ranking, synth
+from coursepulse.operators import (
+    alerts,
+    cleaning,
+    layer_tree,
+    metrics,
+    oplog,
+    quality,
+    ranking,
+    synth,
+)
 from coursepulse.plans import ranks
 from coursepulse.plans.results import BATCH, six_results
 from coursepulse.plans.rollup import ENROLMENT, merge, stored_rollup
 from coursepulse.session import scratch_path
-from coursepulse.sources import readers, writers
-from coursepulse.streaming import ingest, running
+from coursepulse.sources import extra, readers, writers
+from coursepulse.streaming import distinct, ingest, roll, running, seen
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -277,6 +286,15 @@ def lost_keys(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.extra_keys(raw, cleaning.clean(raw))
 
 
+def tree_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """The keys that cleaning removed, from the hash trees of both layers."""
+    raw = X.behavior_raw(spark, sf, names=False)
+    left, right = scratch_path(spark, "layer"), scratch_path(spark, "layer")
+    layer_tree.write_layer(raw, left)
+    layer_tree.write_layer(cleaning.clean(raw), right)
+    return layer_tree.missing_keys(spark, left, right)
+
+
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     raw = X.behavior_raw(spark, sf, names=False)
     return cleaning.layer_counts(cleaning.dwd(raw), raw)
@@ -352,6 +370,69 @@ def land_stream(spark: SparkSession, sf: str) -> DataFrame:
     return readers.good_records(readers.read_partitioned_logs(spark, out))
 
 
+def extra_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields that no schema has, after reading, landing and reading again."""
+    log = X.behavior(spark, sf, names=False)
+    unknown = {
+        "seat": F.col("record_id").cast("bigint") % 1000,
+        "context": F.struct(F.col("chapter_id").alias("unit"), (F.col("duration") * 2).alias("ticks")),
+        "tags": F.array("device_type", "behavior_type"),
+    }
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "dated")
+    writers.write_json(log.withColumns(unknown), landing)
+    stream = ingest.stream_logs(spark, landing, extra=True)
+    ingest.land_stream(stream, out, scratch_path(spark, "checkpoint"), by="event").awaitTermination()
+    return readers.good_records(readers.read_partitioned_logs(spark, out, extra=True)).select(
+        "record_id",
+        "duration",
+        extra.field("seat", "$", "bigint").alias("seat"),
+        extra.field("context", "$.unit", "string").alias("unit"),
+        extra.field("context", "$.ticks", "bigint").alias("ticks"),
+        extra.field("tags", "$[1]", "string").alias("tag"),
+        extra.field("context", "$.absent", "string").alias("absent"),
+    )
+
+
+def roll_landed(spark: SparkSession, sf: str) -> DataFrame:
+    """The log landed in small batches, rolled, and landed on."""
+    landing, out, rolled = (scratch_path(spark, n) for n in ("landing", "dated", "rolled"))
+    checkpoint, upto = scratch_path(spark, "checkpoint"), None
+    for half in _halves(X.behavior(spark, sf)):
+        writers.write_json(half.repartition(3), landing, mode="append")
+        stream = ingest.stream_logs(spark, landing, max_files=1)
+        ingest.land_stream(stream, out, checkpoint, by="event").awaitTermination()
+        if upto is None:
+            upto = roll.roll(spark, out, rolled)
+            roll.drop_rolled(spark, out, upto)
+    return readers.good_records(roll.read_rolled(spark, out, rolled, upto))
+
+
+def dedup_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned layer of three batches in order of record ids, one after the other."""
+    raw = cleaning.clean(X.behavior_raw(spark, sf))
+    store, path = scratch_path(spark, "seen"), scratch_path(spark, "unique")
+    number, half = F.col("record_id").try_cast("bigint"), X.events(spark, sf).count() // 2
+    third = F.when(number.isNull(), 2).when(number >= half, 1).otherwise(0)
+    for i in range(3):
+        seen.dedup_batch(raw.filter(third == i), i, store, path)
+    return spark.read.parquet(path).drop("batch_id")
+
+
+def _bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    path, numbers = scratch_path(spark, "bitmaps"), scratch_path(spark, "numbers")
+    for i, half in enumerate(_halves(X.behavior(spark, sf))):
+        distinct.add_batch(half, i, path, numbers)
+    return distinct.merged(spark, path)
+
+
+def summary_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    return distinct.summary(_bitmaps(spark, sf), ROSTER)
+
+
+def popularity_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    return distinct.course_popularity(_bitmaps(spark, sf))
+
+
 def _run_in_two(spark: SparkSession, sf: str, path: str) -> None:
     landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
     for half in _halves(X.behavior(spark, sf)):
@@ -634,6 +715,7 @@ QUERIES: dict[str, Query] = {
     "compare_counts": compare_counts,
     "csv_line_counts": csv_line_counts,
     "layer_counts": layer_counts,
+    "tree_diff": tree_diff,
     "json_roundtrip": _on_log(cleaning.json_roundtrip, names=True),
     # streaming
     "stream_logs": stream_logs,
@@ -641,6 +723,11 @@ QUERIES: dict[str, Query] = {
     "parse_lines": parse_lines,
     "with_ingest_meta": with_ingest_meta,
     "land_stream": land_stream,
+    "extra_fields": extra_fields,
+    "roll_landed": roll_landed,
+    "dedup_batches": dedup_batches,
+    "summary_bitmaps": summary_bitmaps,
+    "popularity_bitmaps": popularity_bitmaps,
     "running_fact": running_fact,
     "snapshot_results": snapshot_results,
     "incremental_refresh": incremental_refresh,

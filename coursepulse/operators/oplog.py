@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from coursepulse import schema as S
 
@@ -17,15 +17,21 @@ LINE = r"\[([^\]]+)\]\s*\[([^\]]+)\]\s*\[([^\]]+)\]\s*(.*)"
 def parse_oplog(lines: DataFrame) -> DataFrame:
     """Time, level, module and message of each line; a line of another form is all message."""
     line = F.col("value")
-    matches = line.rlike(LINE)
-    fields = {
-        name: F.when(matches, F.regexp_extract(line, LINE, i))
-        for i, name in enumerate(["ts", "level", "module"], start=1)
-    }
-    message = F.when(matches, F.regexp_extract(line, LINE, 4)).otherwise(line)
-    return lines.select(
-        line.alias("line"), *[c.alias(n) for n, c in fields.items()], message.alias("message")
-    )
+    # One run of the pattern: its groups between marks, split at them.
+    marked = F.regexp_replace(line, LINE, "\u0001$1\u0001$2\u0001$3\u0001$4\u0001")
+    plain = F.array(line)
+    parts = F.when(F.contains(line, F.lit("\u0001")), _groups(line)).otherwise(F.split(marked, "\u0001", 7))
+    split = lines.select(line.alias("line"), F.explode(F.array(F.coalesce(parts, plain))).alias("_parts"))
+    found = F.size("_parts") > 1
+    fields = {n: F.when(found, F.get("_parts", i)) for i, n in enumerate(["ts", "level", "module"], start=1)}
+    message = F.when(found, F.get("_parts", 4)).otherwise(F.col("line"))
+    return split.select("line", *[c.alias(n) for n, c in fields.items()], message.alias("message"))
+
+
+def _groups(line: Column) -> Column:
+    """The same of a line that holds the mark itself: a run for each group."""
+    groups = [F.regexp_extract(line, LINE, i) for i in range(1, 5)]
+    return F.when(line.rlike(LINE), F.array(F.lit(""), *groups))
 
 
 def search_oplog(

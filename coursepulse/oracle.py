@@ -570,7 +570,7 @@ FROM behavior GROUP BY ALL"""
         "SELECT DISTINCT student_id, student_name FROM behavior"
     )
     calendar_week = f"(date_diff('day', DATE '2024-01-01', {day}) // 7 + 1)"
-    return {
+    found = {
         # sources
         "read_json_logs": whole_log,
         "read_csv_logs": _synth_b22(),
@@ -822,6 +822,12 @@ FROM behavior"""
         "snapshot_results": _flat(*FLAT_REALTIME),
         "incremental_refresh": _flat(*FLAT_BATCH),
         "compact": _flat(*FLAT_BATCH),
+        "extra_fields": _log(
+            """
+SELECT record_id, duration, CAST(record_id AS BIGINT) % 1000 AS seat, chapter_id AS unit,
+       duration * 2 AS ticks, behavior_type AS tag, CAST(NULL AS VARCHAR) AS absent
+FROM behavior"""
+        ),
         # generation
         "synth_b8": _synth_b8(),
         "synth_b11": _synth_b11(),
@@ -870,3 +876,12 @@ FROM events""",
             "SELECT 'land' AS job, count(*) AS records, 'succeeded' AS status FROM events"
         ),
     }
+    # Other ways to the same rows.
+    same = {
+        "roll_landed": "land_stream",
+        "dedup_batches": "dwd",
+        "summary_bitmaps": "summary",
+        "popularity_bitmaps": "course_popularity",
+        "tree_diff": "lost_keys",
+    }
+    return found | {name: found[other] for name, other in same.items()}

@@ -7,13 +7,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from coursepulse import schema as S
+from coursepulse.sources.extra import EXTRA, unknown_fields
 
 PARTITIONS = ["year", "month", "day"]
+DATED_LINES = "value string, year int, month int, day int, batch string"
+# The folder of a landed batch, and every visible name that is none.
+BATCH = "batch"
+NO_BATCH = "{[^b_.]*,b[^a]*,ba[^t]*,bat[^c]*,batc[^h]*,batch[^=]*}"
 
 
-def parse_records(lines: DataFrame) -> DataFrame:
+def parse_records(lines: DataFrame, extra: bool = False) -> DataFrame:
     """The record in each ``value``, beside the other columns of ``lines``.
 
+    With ``extra`` fields that the schema lacks are kept in a map of variants; see ``sources.extra``.
+
     A line that is no record is kept in ``_corrupt_record``. Whether it is one depends on
     the whole line here; the JSON file source judges by the columns a query happens to read.
     ``explode`` over the single record keeps later filters from parsing the line again.
@@ -26,16 +33,18 @@ def parse_records(lines: DataFrame) -> DataFrame:
         F.col(f"_record.{S.CORRUPT}")
     )
     fields = [F.col(f"_record.{c}").alias(c) for c in S.LOG.fieldNames()]
+    if extra:
+        fields.append(unknown_fields(F.col("value")).alias(EXTRA))
     return parsed.select(*fields, *others, unread.alias(S.CORRUPT))
 
 
-def read_json_logs(spark: SparkSession, path: str) -> DataFrame:
+def read_json_logs(spark: SparkSession, path: str, extra: bool = False) -> DataFrame:
     """JSON lines anywhere below ``path``, of either record form.
 
     The recursive lookup also finds files of a folder that mixes dated sub-folders with
     files at its root; plain partition discovery would lose the latter.
     """
-    return parse_records(spark.read.option("recursiveFileLookup", True).text(path))
+    return parse_records(spark.read.option("recursiveFileLookup", True).text(path), extra)
 
 
 def read_csv_logs(spark: SparkSession, path: str, schema: T.StructType = S.B22) -> DataFrame:
@@ -57,8 +66,44 @@ def read_csv_logs(spark: SparkSession, path: str, schema: T.StructType = S.B22)
     return whole.select("_row.*")
 
 
+def _any(spark: SparkSession, pattern: str) -> bool:
+    """Whether there is a path of this pattern."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = glob.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return bool(fs.globStatus(glob))
+
+
+def dated_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, year, month, day, batch) of the lines under ``year=/month=/day=``.
+
+    Landed batches are a folder each below their day; files of a day itself have no batch. Partition
+    discovery takes one depth only, so where both are met they are read apart.
+    """
+    days = f"{path}/year=*/month=*/day=*"
+    folders = [F.col(p).cast("int").alias(p) for p in PARTITIONS]
+    batch = F.col(BATCH).cast("string").alias(BATCH)
+    none = F.lit(None).cast("string").alias(BATCH)
+    landed, flat = _any(spark, f"{days}/{BATCH}=*"), _any(spark, f"{days}/{NO_BATCH}")
+    if not landed and not flat:
+        return spark.createDataFrame([], DATED_LINES)
+    if not landed:
+        return spark.read.text(path).select("value", *folders, none)
+    if not flat:
+        return spark.read.text(path).select("value", *folders, batch)
+    reader = spark.read.option("basePath", path)
+    return (
+        reader.text(f"{days}/{BATCH}=*")
+        .select("value", *folders, batch)
+        .unionAll(reader.text(f"{days}/{NO_BATCH}").select("value", *folders, none))
+    )
+
+
 def read_partitioned_logs(
-    spark: SparkSession, path: str, start: str | None = None, end: str | None = None
+    spark: SparkSession,
+    path: str,
+    start: str | None = None,
+    end: str | None = None,
+    extra: bool = False,
 ) -> DataFrame:
     """JSON lines under ``year=/month=/day=``, only the folders from ``start`` to ``end``.
 
@@ -66,8 +111,7 @@ def read_partitioned_logs(
     condition files beside the dated folders are read too, with null dates: partition
     discovery alone would leave them out.
     """
-    folders = [F.col(p).cast("int").alias(p) for p in PARTITIONS]
-    lines = spark.read.text(path).select("value", *folders)
+    lines = dated_lines(spark, path).drop(BATCH)
     if start is None and end is None:
         every = spark.read.option("recursiveFileLookup", True).text(path)
         undated = every.filter(~F.col("_metadata.file_path").contains(f"/{PARTITIONS[0]}="))
@@ -79,7 +123,7 @@ def read_partitioned_logs(
         lines = lines.filter(day >= F.lit(start).cast("date"))
     if end is not None:
         lines = lines.filter(day <= F.lit(end).cast("date"))
-    return parse_records(lines)
+    return parse_records(lines, extra)
 
 
 def dim(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from coursepulse.functions.timestamps import date_text, event_date
+from coursepulse.sources.extra import EXTRA, as_lines
 
 FORMATS = ("json", "csv")
 
@@ -59,6 +60,31 @@ def write_partitioned(
     ).format(fmt).save(path)
 
 
+def batch_name(batch_id: int) -> str:
+    return f"batch-{batch_id:012d}"
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, day: Column, fmt: str = "json") -> None:
+    """Land a micro-batch: a folder of its own below each of its days.
+
+    Spark's dynamic partition overwrite commits it. It replaces the folders of this batch and no
+    others, so that a batch that is repeated, or was killed half way, gives its rows once. Fields in
+    a column of variants are written beside the others.
+    """
+    dated = with_partition_columns(df, day).withColumn("batch", F.lit(batch_name(batch_id)))
+    folders = ["year", "month", "day", "batch"]
+    if EXTRA in df.columns and fmt == "json":
+        dated, fmt = as_lines(dated, folders), "text"
+    (
+        dated.hint("rebalance", "year", "month", "day")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*folders)
+        .format(fmt)
+        .save(path)
+    )
+
+
 def write_bundle(results: dict[str, DataFrame], path: str) -> None:
     """Each named result as JSON lines in its own folder."""
     for name, df in results.items():

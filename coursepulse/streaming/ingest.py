@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from coursepulse import schema as S
 from coursepulse.functions.timestamps import event_date, event_time
 from coursepulse.sources.readers import good_records, parse_records, quarantine
-from coursepulse.sources.writers import write_json, write_partitioned
+from coursepulse.sources.writers import write_batch, write_json
 
 ROLL_INTERVAL = "3600 seconds"
 
@@ -22,14 +22,15 @@ def stream_logs(
     max_files: int | None = None,
     archive: str | None = None,
     max_len: int | None = None,
+    extra: bool = False,
 ) -> DataFrame:
     """Records of each file that appears in ``path``, with their ingest time and file.
 
     Every file is taken once per checkpoint. With ``archive`` finished files move there,
-    which keeps the watched folder short.
+    which keeps the watched folder short. With ``extra`` unknown fields are kept.
     """
     lines = with_ingest_meta(stream_lines(spark, path, max_files, archive))
-    return parse_lines(lines, max_len)
+    return parse_lines(lines, max_len, extra)
 
 
 def stream_lines(
@@ -65,9 +66,9 @@ def split_lines(lines: DataFrame, max_len: int | None = None) -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, max_len: int | None = None) -> DataFrame:
+def parse_lines(lines: DataFrame, max_len: int | None = None, extra: bool = False) -> DataFrame:
     """Records of JSON lines; what is not a record stays in ``_corrupt_record``."""
-    return parse_records(split_lines(lines, max_len))
+    return parse_records(split_lines(lines, max_len), extra)
 
 
 def with_ingest_meta(df: DataFrame, tz: str = S.INGEST_TIME_ZONE) -> DataFrame:
@@ -97,33 +98,6 @@ def write_quarantine(batch: DataFrame, batch_id: int, path: str) -> None:
     )
 
 
-def _publish(spark: SparkSession, staged: str, path: str, batch_id: int) -> None:
-    """Move a batch's files to their dated folders under names that a retry meets again.
-
-    The names carry the batch; files of an earlier attempt go first. A batch makes few files,
-    which bounds the moves.
-    """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    source, target = hadoop.Path(staged), hadoop.Path(path)
-    fs = source.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    root = fs.makeQualified(source).toString() + "/"
-    found, files = fs.listFiles(source, True), []
-    while found.hasNext():
-        name = found.next().getPath().toString()
-        if name.rsplit("/", 1)[1].startswith("part-"):
-            files.append(name[len(root) :])
-    for old in fs.globStatus(hadoop.Path(target, f"year=*/month=*/day=*/batch-{batch_id}-*")) or []:
-        fs.delete(old.getPath(), False)
-    for number, name in enumerate(sorted(files)):
-        folder, _, part = name.rpartition("/")
-        ending = part[part.index(".") :]
-        day = hadoop.Path(target, folder)
-        fs.mkdirs(day)
-        fs.rename(
-            hadoop.Path(source, name), hadoop.Path(day, f"batch-{batch_id}-{number:05d}{ending}")
-        )
-
-
 def land_stream(
     df: DataFrame,
     path: str,
@@ -140,20 +114,17 @@ def land_stream(
     ``ROLL_INTERVAL``; without one, everything available is landed and the query ends.
 
     Lines that are no records go to ``quarantine_path`` (by default ``_quarantine`` below
-    ``path``, which readers of ``path`` pass over). Each micro-batch is written by
-    ``write_partitioned``, whose rebalancing makes few files of a bounded size
-    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), into a staging folder, and its files
-    are moved under names of their own: a retried batch replaces them, and the folder remains
-    an ordinary one that batch jobs may append to.
+    ``path``, which readers of ``path`` pass over). Each micro-batch is written by ``write_batch``
+    to a folder of its own below each day, committed by Spark, which a retried batch replaces; the
+    batch's time is that of its first attempt. The folder remains an ordinary one that batch jobs
+    may append to. ``streaming.roll`` joins the small files of many batches.
     """
     aside = f"{path.rstrip('/')}/_quarantine" if quarantine_path is None else quarantine_path
-    staging = f"{path.rstrip('/')}/_staging"
     date_col = {"ingest": "ingest_time", "event": "timestamp"}.get(by)
     if date_col is None:
         raise ValueError(f"unknown partitioning: {by}")
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         # Parsed once for both outcomes.
         held = batch.persist()
         try:
@@ -162,8 +133,7 @@ def land_stream(
                 write_quarantine(held, batch_id, aside)
                 records = good_records(held)
             day = F.col(date_col).cast("date") if by == "ingest" else event_date(F.col(date_col))
-            write_partitioned(records, staging, day=day, fmt=fmt, mode="overwrite")
-            _publish(spark, staging, path, batch_id)
+            write_batch(records, path, batch_id, day, fmt)
         finally:
             held.unpersist()
 
