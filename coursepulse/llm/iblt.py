@@ -10,7 +10,9 @@ the exclusive-or of digests and that of their check sums. Two sketches of one si
 cell by cell (exclusive-or is its own inverse), and peeling cells with a single digest recovers
 the digests that only one text has. Where that
 fails, the sketches are made anew as large as both texts' digests need, and doubled up to
-``RETRIES`` times; what is still left then is compared digest by digest.
+``RETRIES`` times; what is still left then is compared digest by digest. The least digests of both
+texts tell beforehand about how many differ: where these are more than a common sketch can tell
+apart, the first try is made that large.
 
 DataFrame functions only; a text's cells live in arrays of its row. Null texts count as empty.
 Texts without paragraphs have an empty sketch and are alike (1.0). Repeated paragraphs count
@@ -36,6 +38,8 @@ SENTENCE_END = r"\n|(?<=[.!?]) "
 # A longer run without an end is cut after about every sixteenth word, by the word's hash.
 LONG_RUN, RUN_WORDS = 400, 16
 ROUNDS = 24
+# So many least digests tell how much two texts differ; so many more are allowed for.
+BOTTOM, SPARE = 12, 8
 NULL_ID = -(1 << 63)
 CELL = "array<struct<cell:bigint,x:bigint,h:bigint>>"
 
@@ -85,32 +89,36 @@ def _entries(found: Column, cells: Column) -> Column:
 
 
 def _gather(entries: Column) -> Column:
-    """Entries of one cell as one, in order of cells; cells that hold nothing are left out."""
+    """Entries of one cell as one, in order of cells; cells that hold nothing are left out.
 
-    def close(state: Column) -> Column:
-        last = state["last"]
-        return F.when((last["x"] == 0) & (last["h"] == 0), state["out"]).otherwise(
-            F.concat(state["out"], F.array(last))
-        )
+    Of the sorted entries the places where a cell begins are filtered out, then each cell's run
+    is joined; nothing grows step by step.
+    """
 
-    def step(state: Column, e: Column) -> Column:
-        last = state["last"]
-        return F.when(
-            last["cell"] == e["cell"],
-            F.struct(
-                state["out"].alias("out"),
-                F.struct(
-                    e["cell"].alias("cell"),
-                    last["x"].bitwiseXOR(e["x"]).alias("x"),
-                    last["h"].bitwiseXOR(e["h"]).alias("h"),
-                ).alias("last"),
-            ),
-        ).otherwise(F.struct(close(state).alias("out"), e.alias("last")))
+    def joined(e: Column, starts: Column) -> Column:
+        def cell(at: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(starts, k + 1), F.size(e))
+            first = e[at]
+            several = F.aggregate(
+                F.sequence(at + 1, end - 1),
+                F.struct(first["x"].alias("x"), first["h"].alias("h")),
+                lambda s, i: F.struct(
+                    s["x"].bitwiseXOR(e[i]["x"]).alias("x"), s["h"].bitwiseXOR(e[i]["h"]).alias("h")
+                ),
+                lambda s: F.struct(first["cell"].alias("cell"), s["x"].alias("x"), s["h"].alias("h")),
+            )
+            return F.when(end - at == 1, first).otherwise(several)
+
+        return F.filter(F.transform(starts, cell), lambda c: (c["x"] != 0) | (c["h"] != 0))
 
-    zero = F.lit(0).cast("bigint")
-    first = F.struct(F.lit(-1).cast("bigint").alias("cell"), zero.alias("x"), zero.alias("h"))
-    start = F.struct(F.array().cast(CELL).alias("out"), first.alias("last"))
-    return F.aggregate(F.sort_array(entries), start, step, close)
+    def starts(e: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(e) - 1)
+        return F.filter(at, lambda i: (i == 0) | (e[i]["cell"] != F.get(e, i - 1)["cell"]))
+
+    return bound(
+        F.sort_array(entries),
+        lambda e: F.when(F.size(e) == 0, e).otherwise(bound(starts(e), lambda at: joined(e, at))),
+    )
 
 
 def sketch(found: Column, cells: Column) -> Column:
@@ -159,19 +167,48 @@ def peel(cells_left: Column, cells: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
 
 
+def expected_difference(a: Column, b: Column) -> Column:
+    """An estimate of the digests that only one side has, from the ``BOTTOM`` least of both.
+
+    The least of all digests are a sample of them: the share that both sides have tells how alike
+    the sides are.
+    """
+    least = lambda x: F.slice(F.sort_array(x), 1, BOTTOM)
+
+    def guess(x: Column, y: Column) -> Column:
+        def of(sample: Column) -> Column:
+            both = F.size(F.filter(sample, lambda d: F.array_contains(x, d) & F.array_contains(y, d)))
+            total, n = F.size(a) + F.size(b), F.size(sample)
+            # Of n distinct digests, ``both`` stand for two each.
+            return F.when(n == 0, F.lit(0)).otherwise(F.ceil(total * (n - both) / (n + both)))
+
+        return bound(F.slice(F.sort_array(F.array_union(x, y)), 1, BOTTOM), of)
+
+    return bound(least(a), lambda x: bound(least(b), lambda y: guess(x, y))).cast("bigint")
+
+
 def with_difference(df: DataFrame, a: str, b: str, sketch_a: str, sketch_b: str, out: str) -> DataFrame:
     """``df`` with ``<out>_n`` (digests that one side lacks) and ``<out>_tries`` (sizes used).
 
-    One column for each step of a try: a step is planned apart and runs only where it is needed.
+    Sketches of the common size are subtracted where the difference is expected to be small, else
+    the first try has two cells for each digest that is expected to differ. One column for each
+    step of a try: a step is planned apart and runs only where it is needed.
     """
-    added = ["_cells", "_rest", "_peeled", "_tries"]
-    df = df.withColumn("_rest", subtract(F.col(sketch_a), F.col(sketch_b)))
+    added = ["_first", "_cells", "_rest", "_peeled", "_tries"]
     base = F.lit(CELLS).cast("bigint")
-    df = df.withColumn("_peeled", peel(F.col("_rest"), base)).withColumn("_tries", F.lit(0))
     # Two cells for each digest of either text, then twice as many.
     full = F.greatest(
         F.lit(2 * CELLS).cast("bigint"), F.ceil((F.size(a) + F.size(b)) * 2 / F.lit(TABLES))
     )
+    guess = expected_difference(F.col(a), F.col(b))
+    size = F.least(full, F.ceil((guess + SPARE) * 2 / F.lit(TABLES)))
+    df = df.withColumn("_first", F.when(guess <= CELLS, base).otherwise(F.greatest(base + 1, size)))
+    first = F.col("_first")
+    small = subtract(F.col(sketch_a), F.col(sketch_b))
+    made = subtract(sketch(F.col(a), first), sketch(F.col(b), first))
+    df = df.withColumn("_rest", F.when(first == base, small).otherwise(made))
+    df = df.withColumn("_peeled", peel(F.col("_rest"), first))
+    df = df.withColumn("_tries", (first > base).cast("int"))
     failed = F.size(F.col("_peeled.left")) > 0
     for tries in range(1, RETRIES + 1):
         cells = F.col("_cells")
@@ -179,7 +216,7 @@ def with_difference(df: DataFrame, a: str, b: str, sketch_a: str, sketch_b: str,
         df = df.withColumn(
             "_rest", F.when(failed, subtract(sketch(F.col(a), cells), sketch(F.col(b), cells)))
         )
-        df = df.withColumn("_tries", F.when(failed, F.lit(tries)).otherwise(F.col("_tries")))
+        df = df.withColumn("_tries", F.when(failed, F.col("_tries") + 1).otherwise(F.col("_tries")))
         df = df.withColumn(
             "_peeled", F.when(failed, peel(F.col("_rest"), cells)).otherwise(F.col("_peeled"))
         )
@@ -217,7 +254,9 @@ def printed(found: Column, cells: Column) -> Column:
 def edited_versions(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", end: str = PARAGRAPH_END
 ) -> DataFrame:
-    """doc_id, text, edited (last quarter replaced by the next text's start) and next_digests.
+    """doc_id, text, edited (last quarter replaced by the next text's start), digests, next_digests.
+
+    Each text's digests are made once and go with it.
 
     The order is made of ids and hashes alone; texts move once to their id, their starts once
     more to the document before.
@@ -227,6 +266,7 @@ def edited_versions(
         F.col(id_col).isNull().alias("no_id"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("hash"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
+        digests(F.col(text), end).alias("digests"),
     )
     keys = ["no_id", "id", "hash"]
     known = rows.groupBy(*keys).agg(F.max(F.length("text")).alias("n"))
@@ -245,7 +285,7 @@ def edited_versions(
         .select(
             *(F.col(f"to_{k}").alias(k) for k in keys),
             F.left("text", F.col("take")).alias("head"),
-            digests(F.col("text")).alias("next_digests"),
+            F.col("digests").alias("next_digests"),
         )
         .dropDuplicates(keys)
     )
@@ -254,6 +294,7 @@ def edited_versions(
         F.when(~F.col("no_id"), F.col("id")).alias("doc_id"),
         "text",
         F.concat(kept, F.col("head")).alias("edited"),
+        "digests",
         "next_digests",
     )
 
@@ -267,7 +308,7 @@ def compare(versions: DataFrame, end: str = PARAGRAPH_END) -> DataFrame:
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        digests(F.col("text"), end).alias("_own"),
+        F.col("digests").alias("_own"),
         digests(F.col("edited"), end).alias("_edit"),
         F.col("next_digests").alias("_next"),
     )

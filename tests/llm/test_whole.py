@@ -142,3 +142,20 @@ def test_scored_once_as_by_fit_and_score(spark):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
     assert toxicity.fit_and_score(docs.limit(0), labels).collect() == []
     assert toxicity.fit_and_score(docs, labels.limit(0), keep=["doc_id"]).filter("rejected").isEmpty()
+
+
+def test_next_documents_are_cut_by_the_same_rule(spark, tmp_path):
+    rng = random.Random(15)
+    sentences = [f"w{rng.randrange(99)} of x{i}{rng.choice('.!?')}" for i in range(60)]
+    texts = [" ".join(rng.sample(sentences, rng.randint(0, 40))) for _ in range(25)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in catalog.QUERIES["op8_iblt"](spark, str(tmp_path)).collect()}
+    parts = lambda t: {p for p in re.split(r"\n|(?<=[.!?]) ", t) if p.strip()}
+    for i, text in enumerate(texts):
+        after = texts[(i + 1) % len(texts)]
+        n = len(text) // 4
+        edited = text[: len(text) - n] + after[:n]
+        for other, got in ((after, rows[i].near_next), (edited, rows[i].near_edited)):
+            a, b = parts(text), parts(other)
+            assert abs(got - (len(a & b) / len(a | b) if a | b else 1.0)) < 1e-9
