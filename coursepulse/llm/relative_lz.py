@@ -319,9 +319,13 @@ class Reference:
 
     def __init__(self) -> None:
         self.texts: list[bytes] = []
+        self.held: set[bytes] = set()
         self.index: dict[bytes, list[tuple[int, int]]] = {}
 
     def add(self, text: bytes) -> None:
+        if text in self.held:
+            return
+        self.held.add(text)
         for at in range(0, len(text) - 8 * WINDOW + 1, 8):
             self.index.setdefault(text[at : at + 8 * WINDOW], []).append((len(self.texts), at))
         self.texts.append(text)
