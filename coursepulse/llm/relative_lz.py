@@ -43,9 +43,9 @@ from coursepulse.session import materialize
 WINDOW, GRAM = 13, 5
 CHUNK_BYTES = 2 << 20
 HOT_PIECES = 256
-BLOCK_OFFERS = 1 << 20  # offers that one task compares
+BLOCK_OFFERS = 1 << 19  # offers that one task compares
 BLOCK_PIECES = 1 << 15  # pieces that one task parses
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 BASE, STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 # The blanks of the word pattern: space, and tab to carriage return.
