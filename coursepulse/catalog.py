@@ -15,6 +15,8 @@ from coursepulse.operators import (
     alerts,
     cleaning,
     layer_tree,
+    log_entries,
+    log_index,
     metrics,
     oplog,
     quality,
@@ -25,8 +27,8 @@ from coursepulse.plans import ranks
 from coursepulse.plans.results import BATCH, six_results
 from coursepulse.plans.rollup import ENROLMENT, merge, stored_rollup
 from coursepulse.session import scratch_path
-from coursepulse.sources import extra, readers, writers
-from coursepulse.streaming import distinct, ingest, roll, running, seen
+from coursepulse.sources import clustered, extra, readers, writers
+from coursepulse.streaming import distinct, ingest, roll, running, seen, watched
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +42,7 @@ BATCH_ROWS = 100
 SECOND_HALF = "2024-01-16 00:00:00"
 RANGE = ("2024-01-05", "2024-01-20")
 ONE_STUDENT = "STU_00000007"
+KEYWORD = "event 1"
 PAIR = ("student_id", "course_id")
 SEED = 7
 TIGHT_RULE = alerts.EngagementRule(
@@ -192,6 +195,20 @@ def write_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     return logs.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("count"))
 
 
+def clustered_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A student's rows of the second half of the month, from the log in space-filling order."""
+    path = scratch_path(spark, "clustered")
+    clustered.write_clustered(X.behavior(spark, sf), path)
+    return clustered.read_clustered(spark, path, ONE_STUDENT, SECOND_HALF)
+
+
+def clustered_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole log as it lands, damaged times and missing students included, stored in that order."""
+    path = scratch_path(spark, "clustered")
+    clustered.write_clustered(X.behavior_raw(spark, sf), path)
+    return clustered.read_clustered(spark, path)
+
+
 def write_bundle(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "bundle")
     results = six_results(stored_rollup(X.behavior(spark, sf)), AS_OF, BATCH, ROSTER)
@@ -418,6 +435,15 @@ def dedup_batches(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
+def watch_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Violations counted while a stream of several micro-batches is written."""
+    landing, out, counts = (scratch_path(spark, n) for n in ("landing", "watched", "counts"))
+    writers.write_json(X.behavior_raw(spark, sf).repartition(4), landing)
+    stream = ingest.stream_logs(spark, landing, max_files=2).drop("ingest_time", "filename", "basename")
+    watched.watch_stream(stream, out, counts, scratch_path(spark, "checkpoint")).awaitTermination()
+    return watched.stream_report(spark, counts)
+
+
 def _bitmaps(spark: SparkSession, sf: str) -> DataFrame:
     path, numbers = scratch_path(spark, "bitmaps"), scratch_path(spark, "numbers")
     for i, half in enumerate(_halves(X.behavior(spark, sf))):
@@ -578,13 +604,45 @@ def parse_oplog(spark: SparkSession, sf: str) -> DataFrame:
 
 def search_oplog(spark: SparkSession, sf: str) -> DataFrame:
     parsed = oplog.parse_oplog(X.oplog_lines(spark, sf))
-    return oplog.search_oplog(parsed, "hadoop", "INFO", "event 1")
+    return oplog.search_oplog(parsed, "hadoop", "INFO", KEYWORD)
 
 
 def latest(spark: SparkSession, sf: str) -> DataFrame:
     return oplog.latest(oplog.parse_oplog(X.oplog_lines(spark, sf)), 100)
 
 
+def _entry_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The log written as text, each error followed by up to three lines of a trace; grouped."""
+    path, events = scratch_path(spark, "oplog"), X.events(spark, sf)
+    props = events.select("event_id", "event_type", "props")
+    number = F.col("event_id").cast("string")
+    n = F.when(F.col("event_type") == "error", (F.col("event_id") % 4).cast("int")).otherwise(0)
+    frame = lambda i: F.concat(F.lit("\n  at step "), i.cast("string"), F.lit(" of "), F.col("props"))
+    trace = F.array_join(F.transform(F.slice(F.array(*map(F.lit, (1, 2, 3))), 1, n), frame), "")
+    numbered = X.oplog_lines(spark, sf).withColumn("number", F.regexp_extract("value", r"(\d+)$", 1))
+    whole = numbered.join(props.select(number.alias("number"), trace.alias("trace")), "number")
+    whole.select(F.concat("value", "trace").alias("value")).write.text(path)
+    return log_entries.group_lines(log_entries.read_oplog(spark, path))
+
+
+ENTRY_COLUMNS = ("ts", "level", "module", "message", "n_lines", "n_chars")
+
+
+def log_entries_query(spark: SparkSession, sf: str) -> DataFrame:
+    return log_entries.entries(_entry_lines(spark, sf)).select(*ENTRY_COLUMNS)
+
+
+def search_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries whose trace, not only whose first line, holds the keyword."""
+    return log_entries.entries(_entry_lines(spark, sf), "at step 3").select(*ENTRY_COLUMNS)
+
+
+def search_index(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "index")
+    log_index.write_index(X.oplog_lines(spark, sf), path)
+    return log_index.search_index(spark, path, KEYWORD, "hadoop", "INFO")
+
+
 def observe_job(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "observed")
     log = X.behavior(spark, sf)
@@ -609,6 +667,8 @@ QUERIES: dict[str, Query] = {
     "append_batches": append_batches,
     "write_logs": write_logs,
     "write_partitioned": write_partitioned,
+    "clustered_scan": clustered_scan,
+    "clustered_log": clustered_log,
     "write_bundle": write_bundle,
     # projections and filters
     "select_b8": _on_log(cleaning.select_b8, names=True),
@@ -726,6 +786,7 @@ QUERIES: dict[str, Query] = {
     "extra_fields": extra_fields,
     "roll_landed": roll_landed,
     "dedup_batches": dedup_batches,
+    "watch_stream": watch_stream,
     "summary_bitmaps": summary_bitmaps,
     "popularity_bitmaps": popularity_bitmaps,
     "running_fact": running_fact,
@@ -746,6 +807,9 @@ QUERIES: dict[str, Query] = {
     # operational log
     "parse_oplog": parse_oplog,
     "search_oplog": search_oplog,
+    "search_index": search_index,
+    "log_entries": log_entries_query,
+    "search_entries": search_entries,
     "latest": latest,
     "observe_job": observe_job,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
@@ -14,18 +14,21 @@ from coursepulse import schema as S
 LINE = r"\[([^\]]+)\]\s*\[([^\]]+)\]\s*\[([^\]]+)\]\s*(.*)"
 
 
-def parse_oplog(lines: DataFrame) -> DataFrame:
-    """Time, level, module and message of each line; a line of another form is all message."""
+def parse_oplog(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Time, level, module and message of each line; a line of another form is all message.
+
+    Columns named in ``keep`` stay in front.
+    """
     line = F.col("value")
     # One run of the pattern: its groups between marks, split at them.
     marked = F.regexp_replace(line, LINE, "\u0001$1\u0001$2\u0001$3\u0001$4\u0001")
     plain = F.array(line)
     parts = F.when(F.contains(line, F.lit("\u0001")), _groups(line)).otherwise(F.split(marked, "\u0001", 7))
-    split = lines.select(line.alias("line"), F.explode(F.array(F.coalesce(parts, plain))).alias("_parts"))
+    split = lines.select(*keep, line.alias("line"), F.explode(F.array(F.coalesce(parts, plain))).alias("_parts"))
     found = F.size("_parts") > 1
     fields = {n: F.when(found, F.get("_parts", i)) for i, n in enumerate(["ts", "level", "module"], start=1)}
     message = F.when(found, F.get("_parts", 4)).otherwise(F.col("line"))
-    return split.select("line", *[c.alias(n) for n, c in fields.items()], message.alias("message"))
+    return split.select(*keep, "line", *[c.alias(n) for n, c in fields.items()], message.alias("message"))
 
 
 def _groups(line: Column) -> Column:

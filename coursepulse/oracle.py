@@ -876,6 +876,23 @@ FROM events""",
             "SELECT 'land' AS job, count(*) AS records, 'succeeded' AS status FROM events"
         ),
     }
+    found["clustered_scan"] = _log(
+        "SELECT * FROM behavior WHERE student_id = 'STU_00000007' "
+        "AND \"timestamp\" >= '2024-01-16 00:00:00'"
+    )
+    found["clustered_log"] = _raw("SELECT * FROM raw")
+    # An entry is its first line and the lines of its trace.
+    step = "'  at step ' || i || ' of ' || props"
+    entries = f"""
+SELECT p.ts, p.level, p.module, p.message, t.n + 1 AS n_lines,
+       CAST(length(p.line) + t.chars AS BIGINT) AS n_chars, t.n
+FROM ({parsed_line}) p JOIN (
+  SELECT event_id, count(i) AS n, coalesce(sum(length({step})), 0) AS chars
+  FROM events LEFT JOIN range(1, 4) r(i) ON event_type = 'error' AND i <= event_id % 4
+  GROUP BY event_id) t ON p.message = 'event ' || t.event_id"""
+    columns = "ts, level, module, message, n_lines, n_chars"
+    found["log_entries"] = _with(f"SELECT {columns} FROM ({entries})", OPLOG)
+    found["search_entries"] = _with(f"SELECT {columns} FROM ({entries}) WHERE n = 3", OPLOG)
     # Other ways to the same rows.
     same = {
         "roll_landed": "land_stream",
@@ -883,5 +900,7 @@ FROM events""",
         "summary_bitmaps": "summary",
         "popularity_bitmaps": "course_popularity",
         "tree_diff": "lost_keys",
+        "watch_stream": "quality_report",
+        "search_index": "search_oplog",
     }
     return found | {name: found[other] for name, other in same.items()}
