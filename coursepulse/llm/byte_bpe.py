@@ -9,7 +9,7 @@ too; the README has the figures that spoke against it.)
 
 Null texts count as empty and have no ids. Texts and words of any length are encoded whole; a
 row is encoded on its own, so ties and repeated rows keep their number and further columns are
-kept, but for one of the output's name. An empty table gives an empty result. Words' ids are held in a table
+kept, whatever their names, but for one of the output's name. An empty table gives an empty result. Words' ids are held in a table
 that starts afresh beyond ``TABLE_WORDS``, which costs time, not results.
 """
 

@@ -15,8 +15,10 @@ slices of at most ``SLICE``, which bounds the index (about 300 entries an item);
 further passes.
 
 Null and empty texts and items match nothing (an item without words has no window); an item of
-fewer words than a shingle is one shingle. Items of equal text are reported each. Repeated
-documents and further columns are kept; an empty table or benchmark leaves ``leaks`` empty.
+fewer words than a shingle is one shingle. Items of equal text are reported each, one without an id
+with a null id. Repeated documents and further columns are kept, whatever their names, but for one
+named ``leaks``; an empty table or benchmark leaves ``leaks`` empty. Very long texts are searched
+whole, a text at a time.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from coursepulse.llm.lookup import unused
+
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS, BLOCKS = 23, 8
@@ -225,7 +229,7 @@ class Index:
                     out.append(
                         {"item_id": self.items[k][0], "start": start, "words": size, "similarity": value}
                     )
-        return sorted(out, key=lambda x: (x["start"], x["item_id"]))
+        return sorted(out, key=lambda x: (x["start"], x["item_id"] is None, x["item_id"] or 0))
 
 
 def _pass(docs: DataFrame, text: str, index: Index, column: str) -> DataFrame:
@@ -272,9 +276,11 @@ def mark(
     items = items.filter(F.trim("text") != "")
     slices = -(-items.count() // items_at_once)
     out = docs.withColumn("leaks", F.array().cast(LEAK))
+    more = unused("_more", out.columns)
     for k in range(slices):
         part = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(slices)) == k).collect()
         if part:
-            index = Index(sorted((r["id"] if r["id"] is not None else -1, r["text"]) for r in part))
-            out = _pass(out, text, index, "_more").withColumn("leaks", F.concat("leaks", "_more")).drop("_more")
+            known = [(r["id"], r["text"]) for r in part]
+            index = Index(sorted(known, key=lambda x: (x[0] is None, x[0] or 0, x[1])))
+            out = _pass(out, text, index, more).withColumn("leaks", F.concat("leaks", more)).drop(more)
     return out

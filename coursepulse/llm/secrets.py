@@ -9,7 +9,9 @@ points: of each bin only the first and last place of either part are kept, which
 
 Positions are code points, ends exclusive. Null and empty texts have no spans. Rows are judged
 by their own text only; repeated rows keep their number, null ids are allowed, and an empty
-table gives an empty result. The columns ``_base``, ``_weak`` and ``_key`` are used inside.
+table gives an empty result. Very long texts are scanned whole, one row at a time. ``find`` keeps
+columns of any other name and replaces one named ``spans``; ``scan`` adds ``_base``, ``_weak``
+and ``_key`` and replaces columns of these names.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from coursepulse.llm.lookup import unused
 from coursepulse.session import materialize
 
 # The kinds in their order, and the patterns.
@@ -33,6 +36,7 @@ ENDPOINT = r"""https?://[^\s"'<>]+"""
 LEAST_ASSIGNED, LEAST_ACCESS = 12, 18
 SCOPE = 400
 SPAN = "array<struct<start:int,kind:int,end:int>>"
+INSIDE = ("_base", "_weak", "_key", "_found")
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -149,14 +153,21 @@ def find(
 
     The scan's result is stored once: the linking reads it without scanning the texts again.
     """
-    names = docs.columns if carry is None else carry
-    scanned = scan(docs, id_col, text).select(*names, "_base", "_weak", "_key")
+    wanted = [n for n in (docs.columns if carry is None else carry) if n.lower() != "spans"]
+    # The caller's columns that are named like one used inside have another name until the end.
+    clash = [n for n in docs.columns if n.lower() in INSIDE]
+    plain = {n: unused(n, [*docs.columns, *INSIDE]) for n in clash}
+    names = [plain.get(n, n) for n in wanted]
+    scanned = scan(
+        docs.withColumnsRenamed(plain), plain.get(id_col, id_col), plain.get(text, text)
+    ).select(*names, "_base", "_weak", "_key")
     stored = materialize(scanned, "secrets")
     alone = stored.filter("_key IS NULL").withColumn("_found", F.array().cast(SPAN))
     linked = stored.filter("_key IS NOT NULL").join(_linked(stored, scope), "_key", "left")
     both = alone.unionByName(linked)
     every = F.array_sort(F.concat("_base", F.coalesce("_found", F.array().cast(SPAN))))
-    return both.select(*names, every.alias("spans"))
+    own = [F.col(n).alias(w) for n, w in zip(names, wanted, strict=True)]
+    return both.select(*own, every.alias("spans"))
 
 
 def digest(found: Column) -> Column:
