@@ -3,8 +3,9 @@
 Documents of equal text are one group and stay together. Groups are dealt by hash into blocks
 of about ``BLOCK_GROUPS``; each block repeatedly combines the two partial partitions of largest
 spread, oppositely ordered, until one is left. The blocks' partitions (one number for each
-shard and block) are then combined in the same way. A group with more bytes than a shard's
-share stays whole: it bounds the balance that any division of whole groups can reach.
+shard and block) are then combined in the same way, in a tree of tasks that each take as many.
+A group with more bytes than a shard's share stays whole: it bounds the balance that any division
+of whole groups can reach.
 
 Null texts count as empty (size 1: a byte for the row itself). Null ids and repeated rows are
 placed like others, equal rows in no particular order among themselves. An empty table gives an
@@ -16,7 +17,6 @@ from __future__ import annotations
 import heapq
 import math
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -80,7 +80,6 @@ def difference(sums: list[tuple[int, ...]], shards: int) -> list[tuple[int, ...]
 
 def assign(groups: DataFrame, shards: int, block_groups: int = BLOCK_GROUPS) -> DataFrame:
     """(digest, shard) for ``groups`` (digest, bytes), one row for each digest."""
-    spark = groups.sparkSession
     blocks = max(1, math.ceil(groups.count() / block_groups))
     dealt = groups.withColumn("block", F.pmod(F.xxhash64("digest"), F.lit(blocks)).cast("int"))
 
@@ -92,16 +91,48 @@ def assign(groups: DataFrame, shards: int, block_groups: int = BLOCK_GROUPS) ->
 
     schema = T.StructType([*dealt.schema.fields, T.StructField("part", T.IntegerType())])
     parts = materialize(dealt.groupBy("block").applyInArrow(divided, schema), "shard-parts")
-    # One total for each block and shard.
-    totals = np.zeros((blocks, shards), dtype=object)
-    for r in parts.groupBy("block", "part").agg(F.sum("bytes").alias("bytes")).collect():
-        totals[r["block"], r["part"]] = r["bytes"]
-    joined = difference([tuple(t) for t in totals.tolist()], shards)
-    places = spark.createDataFrame(
-        [(b, p, s) for b, x in enumerate(joined) for p, s in enumerate(x)],
-        "block int, part int, shard int",
-    )
-    return parts.join(F.broadcast(places), ["block", "part"]).select("digest", "shard")
+    places = _combined(parts, blocks, shards, max(2, block_groups))
+    return parts.join(places, ["block", "part"]).select("digest", "shard")
+
+
+def _combined(parts: DataFrame, blocks: int, shards: int, fan: int) -> DataFrame:
+    """(block, part, shard): the blocks' partitions combined, ``fan`` in a task, level by level.
+
+    A level's results are partial partitions again, until one is left; its parts are the shards.
+    Going back down, each part takes the shard of the part that it joined. A task holds ``shards``
+    totals for each of ``fan`` partitions, and the driver none.
+    """
+
+    def combined(key, table):
+        units = sorted(set(table.column("block").to_pylist()))
+        at = {unit: i for i, unit in enumerate(units)}
+        sums = [[0] * shards for _ in units]
+        rows = list(
+            zip(*(table.column(c).to_pylist() for c in ("block", "part", "bytes")), strict=True)
+        )
+        for unit, part, size in rows:
+            sums[at[unit]][part] = size
+        joined = difference([tuple(x) for x in sums], shards)
+        above = [joined[at[unit]][part] for unit, part, _ in rows]
+        return table.append_column("joined", pa.array(above, pa.int32()))
+
+    schema = "block int, part int, bytes bigint, above int, joined int"
+    levels, units = [], blocks
+    rows = parts.select("block", "part", "bytes")
+    while not levels or units > 1:
+        totals = rows.groupBy("block", "part").agg(F.sum("bytes").alias("bytes"))
+        dealt = totals.withColumn("above", F.floor(F.col("block") / fan).cast("int"))
+        level = dealt.groupBy("above").applyInArrow(combined, schema)
+        levels.append(materialize(level, "shard-level"))
+        rows = levels[-1].select(
+            F.col("above").alias("block"), F.col("joined").alias("part"), "bytes"
+        )
+        units = math.ceil(units / fan)
+    places = levels[-1].select("block", "part", F.col("joined").alias("shard"))
+    for level in reversed(levels[:-1]):
+        upper = places.toDF("above", "joined", "shard")
+        places = level.join(upper, ["above", "joined"]).select("block", "part", "shard")
+    return materialize(places, "shard-joined")
 
 
 def numbered(placed: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:

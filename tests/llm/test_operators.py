@@ -502,6 +502,26 @@ def test_shards_balance_and_keep_copies_together(docs, block):
         assert slots == list(range(len(slots)))
 
 
+@pytest.mark.parametrize("fan", [2, 3, 100])
+def test_partitions_are_combined_level_by_level(spark, fan):
+    rng = random.Random(5)
+    sums = {(b, p): rng.randrange(1, 10**12) for b in range(23) for p in range(3) if b != 4 and (b, p) != (7, 1)}
+    rows = [(b, p, half) for (b, p), n in sums.items() for half in (n // 2, n - n // 2)]
+    parts = spark.createDataFrame(rows, "block int, part int, bytes long").repartition(4)
+    placed = sharding._combined(parts, 23, 3, fan).collect()
+    shard_of = {(r.block, r.part): r.shard for r in placed}
+    assert len(placed) == len(sums) and set(shard_of) == set(sums)
+    for b in range(23):
+        own = [s for (block, _), s in shard_of.items() if block == b]
+        assert len(set(own)) == len(own) and set(own) <= {0, 1, 2}
+    totals = [sum(n for key, n in sums.items() if shard_of[key] == k) for k in range(3)]
+    assert max(totals) - min(totals) <= 10**12
+    if fan == 100:  # one level: the same as all partitions at once
+        units = [b for b in range(23) if b != 4]
+        whole = sharding.difference([tuple(sums.get((b, p), 0) for p in range(3)) for b in units], 3)
+        assert all(shard_of[b, p] == whole[units.index(b)][p] for b, p in sums)
+
+
 def test_shards_of_odd_and_no_rows(odd, none):
     assert sharding.shard(odd, 2).count() == 6 and sharding.shard(none, 2).isEmpty()
     with pytest.raises(ValueError):
