@@ -323,6 +323,30 @@ def test_toxic_words_and_stems_are_learnt(spark):
     assert {r.doc_id: r.score for r in again} == {r.doc_id: r.score for r in scored}
 
 
+def test_few_labels_are_not_learnt_by_heart():
+    rng = random.Random(3)
+
+    def texts(n):
+        out = []
+        for i in range(n):
+            words = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 7))) for _ in range(200)]
+            for _ in range(2 * (i % 8 == 0)):
+                words.insert(rng.randrange(200), rng.choice(["vile", "nasty", "rotten", "filthy"]))
+            out.append(" ".join(words))
+        return out, np.array([float(i % 8 == 0) for i in range(n)])
+
+    known, labels = texts(320)
+    rows = [toxicity.rows_of(toxicity.words_of(x)) for x in known]
+    held = toxicity.evidence(rows, labels)
+    marks = toxicity.rows_of(["vile", "nasty", "rotten", "filthy"])
+    assert held[marks[:, 0]].min() > np.quantile(held, 0.999) and (held == 0).mean() > 0.5
+    fresh, truth = texts(400)
+    score = toxicity.train(rows, labels).scores_of(fresh)
+    assert np.mean(score[truth > 0][:, None] > score[truth == 0]) > 0.98
+    one_sided = toxicity.train(rows[:20], np.zeros(20))
+    assert np.isfinite(one_sided.scores_of(fresh[:20])).all() and one_sided.scores_of(fresh[:20]).max() < 0.5
+
+
 def test_toxicity_without_labels(odd, none, spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     scored = toxicity.score(odd, toxicity.fit(odd, labels)).collect()
