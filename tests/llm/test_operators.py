@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 from collections import Counter
 
 import numpy as np
@@ -479,6 +480,54 @@ def test_suffixes_are_sorted():
         assert repeats.suffix_array(text, 100) == sorted(range(len(text)), key=lambda i: text[i:])
 
 
+def test_suffixes_with_zero_bytes_are_sorted():
+    rng = random.Random(4)
+    for n in range(200):
+        text = bytes(rng.choice(b"\0\0a\xff") for _ in range(n % 40))
+        assert repeats.suffix_array(text, 100) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def test_suffixes_are_sorted_without_a_call_for_each():
+    rng, calls = random.Random(5), [0]
+    text = bytes(rng.choice(b"abcdefgh ") for _ in range(20_000))
+
+    def seen(frame, event, arg):
+        calls[0] += event == "call"
+
+    sys.setprofile(seen)
+    try:
+        order = repeats.suffix_array(text)
+    finally:
+        sys.setprofile(None)
+    assert order == sorted(range(len(text)), key=lambda i: text[i:])
+    assert calls[0] < len(text) // 10
+
+
+def test_buckets_of_anchors_are_even():
+    data = np.random.default_rng(6).integers(0, 256, 200_000, np.uint8)
+    hashes = repeats.anchors(data, np.array([len(data)]))[1]
+    sizes = np.bincount((repeats.short(hashes, 6) >> np.uint64(32)).astype(np.int64), minlength=64)
+    assert sizes.max() < 2 * sizes.mean() and sizes.min() > sizes.mean() / 2
+
+
+def test_windows_of_a_full_piece_and_of_a_block_edge():
+    # Two documents with a common run longer than a block of windows, which an anchor may cross.
+    rng = random.Random(7)
+    body = bytes(rng.choice(b"ab ") for _ in range(700))
+    ends = np.cumsum([700, 0, 49, 50])
+    data = np.frombuffer(body + body[:49] + body[100:150], np.uint8)
+    whole = [x.tolist() for x in repeats.anchors(data, ends)]
+    place, _, first, last = whole
+    covered = [w for f, e in zip(first, last, strict=True) for w in range(f, e + 1)]
+    assert covered == [*range(651), 749]
+    assert all(f <= p <= f + 30 and e <= p <= e + 30 for p, f, e in zip(place, first, last, strict=True))
+    block, repeats.BLOCK = repeats.BLOCK, 64
+    try:
+        assert [x.tolist() for x in repeats.anchors(data, ends)] == whole
+    finally:
+        repeats.BLOCK = block
+
+
 @pytest.mark.parametrize("more", [{}, {"chunk_bytes": 3000}, {"chunk_bytes": 3000, "hot_chunks": 1}])
 def test_repeated_bytes_go(spark, more):
     rows = corpus()
